@@ -12,9 +12,13 @@ def _col(c: Column | str) -> Column:
 
 def to_long(c: Column | str, default: int | None = None) -> Column:
     """Any numeric text to a truncated long ("1.4E9" too); else the default."""
-    value = _col(c).try_cast("double").try_cast("bigint")
-    # a plain integer must not lose digits on its way through double
-    value = F.coalesce(_col(c).try_cast("bigint"), value)
+    number = _col(c).try_cast("double")
+    # doubles hold whole numbers exactly up to 2^53; beyond, the text is cast
+    # itself.  Not first of all: a failed integer cast is slow.
+    exact = F.coalesce(_col(c).try_cast("bigint"), number.try_cast("bigint"))
+    value = F.when(F.abs(number) < float(1 << 53), number.cast("bigint")).when(
+        number.isNotNull(), exact
+    )
     return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 

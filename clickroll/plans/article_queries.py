@@ -131,7 +131,7 @@ def _rollup_orders(name: str, start: str, back: int = 0) -> None:
     @query(f"rollup_{name}", sql)
     def run(spark, sf_dir):
         orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderdate").cast("timestamp").alias("ts"),
+            F.col("o_orderdate").alias("ts"),
             F.col("o_orderstatus").alias("status"), "o_orderkey",
         )
         aggs = [F.count(F.lit(1)).alias("count"), F.max("o_orderkey").alias("last_key")]

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickroll.session import work_dir
 
 # Agent texts given to the 15 user groups of the events table.
 AGENTS = [
@@ -100,14 +103,29 @@ def duck(body: str, *ctes: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A supplied table.
+
+    Its times carry no zone and are read as UTC instants right in the scan, so
+    that filters on them reach the Parquet row groups.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(table_schema(spark, path)).parquet(path)
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a Parquet table with instants for times without a zone."""
+    fields = spark.read.parquet(path).schema.fields
+    return T.StructType(
+        [
+            T.StructField(f.name, T.TimestampType() if f.dataType == T.TimestampNTZType() else f.dataType)
+            for f in fields
+        ]
+    )
 
 
 def as_clicks(events: DataFrame) -> DataFrame:
-    """Events as clicks; works on a stream too.  Event time is read as UTC."""
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    return timed.sparkSession.sql(_SPARK_CLICKS, events=timed)
+    """Events as clicks; works on a stream too."""
+    return events.sparkSession.sql(_SPARK_CLICKS, events=events)
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +140,7 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
     """A table's file as a stream."""
-    schema = table(spark, sf_dir, name).schema
+    schema = table_schema(spark, f"{sf_dir}/{name}.parquet")
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
@@ -163,6 +181,13 @@ def as_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def message_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The messages of the events table in a folder of their own, as a topic holds them."""
+    path = work_dir(spark, "messages")
+    as_messages(table(spark, sf_dir, "events")).write.parquet(path)
+    return path
+
+
 # The same messages as rows, bad ones left out, in the raw text forms.
 DUCK_RAW = f"""raw AS (
 SELECT event_id, epoch_s, article_id AS "articleId", host, cat,

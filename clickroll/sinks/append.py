@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.functions.slices import day_key
@@ -33,7 +34,8 @@ def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """All batches of a table, with their ``batch_id``."""
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(numbered).parquet(path)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str, transform=None,

@@ -37,15 +37,18 @@ def read_click_stream(
 
 
 def parse_clicks(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add the click fields of a JSON message, and ``_corrupt`` for a bad one."""
+    """Click fields of a JSON message, its text, and ``_corrupt`` for a bad one.
+
+    The struct is unpacked by a generator, not by field access: a projection
+    would be merged with the filters behind it, and the message parsed again
+    for each.
+    """
     parsed = F.from_json(
         F.col(value), RAW_CLICK,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    others = [c for c in messages.columns if c != value]
-    return messages.select(*others, F.col(value).alias("_value"), parsed.alias("_click")).select(
-        *others, "_value", "_click.*"
-    )
+    others = [c for c in messages.columns if c not in (value, *RAW_CLICK.names)]
+    return messages.select(*others, F.col(value).alias("_value"), F.inline(F.array(parsed)))
 
 
 def _is_bad(parsed: DataFrame):

@@ -51,7 +51,7 @@ def latest_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "upda
 def read_latest(spark: SparkSession, path: str, keys: list[str], schema) -> DataFrame:
     """Last version of each row that ``latest_stream`` wrote."""
     values = [f.name for f in schema.fields if f.name not in keys]
-    log = read_batches(spark, path, schema.add("batch_id", "bigint"))
+    log = read_batches(spark, path, schema)
     last = F.max_by(F.struct(*values), "batch_id").alias("_v")
     return log.groupBy(*keys).agg(last).select(*keys, "_v.*")
 
