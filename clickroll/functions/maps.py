@@ -26,7 +26,7 @@ def list_to_map(items: Column) -> Column:
 
 def map_to_list(counts: Column) -> Column:
     """Map back to a sorted list of (article_id, count) structs."""
-    return F.array_sort(
+    return F.sort_array(
         F.transform(
             F.map_entries(counts),
             lambda e: F.struct(e["key"].alias("article_id"), e["value"].alias("count")),

@@ -54,11 +54,14 @@ def slice_of_interval(interval: int | str) -> str:
     return INTERVAL_SLICES[name]
 
 
-def seconds(n: int | Column) -> Column:
+def seconds(n: int) -> Column:
     """Interval of n seconds."""
-    if isinstance(n, int):
-        return F.expr(f"INTERVAL '{n}' SECOND")
-    return F.make_dt_interval(secs=n)
+    return F.expr(f"INTERVAL '{n}' SECOND")
+
+
+def _shift(start: Column, by: Column) -> Column:
+    # whole seconds in plain long arithmetic; interval columns go by decimals
+    return F.timestamp_seconds(F.unix_seconds(start) + by)
 
 
 def _local_start(name: str, ts: Column, n: int, back: int) -> Column:
@@ -69,7 +72,7 @@ def _local_start(name: str, ts: Column, n: int, back: int) -> Column:
     if name == "min5":
         # within the hour, so 7 gives 0, 7, .. 56 and starts again
         hour = F.date_trunc("hour", ts)
-        start = hour + seconds((F.minute(ts) - F.minute(ts) % n) * 60)
+        start = _shift(hour, (F.minute(ts) - F.minute(ts) % n) * 60)
         return start - seconds(back * n * 60) if back else start
     if name == "half_hour":
         half = F.date_trunc("hour", ts) + seconds(1800)
@@ -77,7 +80,7 @@ def _local_start(name: str, ts: Column, n: int, back: int) -> Column:
     if name == "hour_n":
         # hours of the 12-hour clock; morning and afternoon stay apart
         over = (F.hour(ts) % 12) % n
-        return F.date_trunc("hour", ts) - seconds(over * 3600)
+        return _shift(F.date_trunc("hour", ts), over * -3600)
     if name == "day":
         start = F.date_trunc("day", ts)
         return F.date_sub(start, back).cast("timestamp") if back else start

@@ -49,7 +49,7 @@ def merge_article_rows(rows: DataFrame, *slices: Column) -> DataFrame:
         by_tag.groupBy(*keys)
         .agg(
             F.sum(F.when(once, F.col("count"))).alias("count"),
-            F.array_sort(F.collect_set("_tag")).alias("tags"),
+            F.sort_array(F.collect_set("_tag")).alias("tags"),
             F.min("_first").alias("_first"),
         )
         .select(*keys, "count", "tags", "_first.*")
@@ -67,7 +67,7 @@ def article_5min(clicks: DataFrame, tz: str | None = None) -> DataFrame:
     counted = (
         clicks.groupBy(
             slice_start("min5", "ts", tz=tz).alias("slice"),
-            *ARTICLE_KEYS, *attrs, clean_tags("tags").alias("tags"),
+            *ARTICLE_KEYS, *attrs, "tags",
         )
         .agg(
             F.count(F.lit(1)).alias("count"),

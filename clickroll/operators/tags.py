@@ -29,16 +29,16 @@ def explode_tags(clicks: DataFrame) -> DataFrame:
 def tag_article_5min(clicks: DataFrame, tz: str | None = None) -> DataFrame:
     """Long form: clicks per slice, host, tag and article.
 
-    First a hash aggregate that also keys on the attributes, then their merge.
+    Clicks are counted per article and whole tag list first, by a hash aggregate
+    that also keys on the attributes.  Only its result is exploded into tags.
     """
     attrs = _present(clicks)
     counted = (
-        explode_tags(clicks)
-        .groupBy(slice_start("min5", "ts", tz=tz).alias("slice"),
-                 "host", "tag", "article_id", *attrs)
+        clicks.groupBy(slice_start("min5", "ts", tz=tz).alias("slice"),
+                       "host", "article_id", *attrs, "tags")
         .agg(F.count(F.lit(1)).alias("count"), F.min("ts").alias("first_ts"))
     )
-    return _merge_long(counted, F.col("slice"), attrs)
+    return _merge_long(explode_tags(counted), F.col("slice"), attrs)
 
 
 def _merge_long(rows: DataFrame, slice_col: Column, attrs: list[str]) -> DataFrame:
@@ -80,7 +80,7 @@ def nest_articles(long: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
         parted.groupBy(*keys)
         .agg(
             F.sum("count").alias("count"),
-            F.array_sort(F.collect_list(F.struct("article_id", "count"))).alias("articles"),
+            F.sort_array(F.collect_list(F.struct("article_id", "count"))).alias("articles"),
             F.min(F.struct("first_ts", *attrs)).alias("_first"),
         )
         .select(*keys, "count", "articles", java_string_hash("tag").alias("c_tag"), "_first.*")

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickroll.session import work_dir
 
@@ -102,25 +101,21 @@ def duck(body: str, *ctes: str) -> str:
     return ",\n".join([f"WITH clicks AS ({DUCK_CLICKS})", *ctes]) + "\n" + body
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table.
+# Columns of the supplied tables in use.  Their times carry no zone; declared as
+# timestamps they are read as UTC instants right in the scan, so that filters on
+# them reach the Parquet row groups.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_orderdate timestamp, o_orderstatus string",
+    "documents": "doc_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "customer": "c_custkey bigint, c_name string",
+}
 
-    Its times carry no zone and are read as UTC instants right in the scan, so
-    that filters on them reach the Parquet row groups.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(table_schema(spark, path)).parquet(path)
-
-
-def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema of a Parquet table with instants for times without a zone."""
-    fields = spark.read.parquet(path).schema.fields
-    return T.StructType(
-        [
-            T.StructField(f.name, T.TimestampType() if f.dataType == T.TimestampNTZType() else f.dataType)
-            for f in fields
-        ]
-    )
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_clicks(events: DataFrame) -> DataFrame:
@@ -140,8 +135,8 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
     """A table's file as a stream."""
-    schema = table_schema(spark, f"{sf_dir}/{name}.parquet")
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
 
 
 BAD_MESSAGE = 7
@@ -232,4 +227,4 @@ def with_user_group(clicks_: DataFrame) -> DataFrame:
 
 def join_list(items: Column | str, sep: str = ",") -> Column:
     """Sorted list as text, for comparison."""
-    return F.array_join(F.array_sort(items), sep)
+    return F.array_join(F.sort_array(items), sep)

@@ -7,16 +7,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings.  The aggregates that carry first-seen attributes or tag
-# sets run as ObjectHashAggregate; its default gives up hashing after 128 keys
-# per task and sorts the rest of the input, so it is raised to a number of
-# small buffers that still fits a task comfortably.
+# Runtime settings: times are UTC instants, plans adapt at run time, and a batch
+# result replaces only the partitions it holds.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -52,7 +52,7 @@ class UpsertTable:
             )
             once = F.coalesce(F.col("_pos"), F.lit(0)) == 0
             aggs += [F.sum(F.when(once, F.col(s))).alias(s) for s in self.sums]
-            aggs.append(F.array_sort(F.collect_set("_item")).alias(tags))
+            aggs.append(F.sort_array(F.collect_set("_item")).alias(tags))
         else:
             aggs += [F.sum(s).alias(s) for s in self.sums]
         aggs.append(F.min(F.struct("_order", *self.firsts)).alias("_first"))

@@ -15,7 +15,7 @@ def last_offsets(ledger: DataFrame) -> DataFrame:
 
 def starting_offsets(ledger: DataFrame) -> DataFrame:
     """One row per topic: the ``{"partition": offset}`` text a stream can start from."""
-    entries = F.array_sort(
+    entries = F.sort_array(
         F.collect_list(F.struct(F.col("partition").cast("string").alias("key"),
                                 F.col("until_offset").alias("value")))
     )
