@@ -33,15 +33,14 @@ def merge_article_rows(rows: DataFrame, *slices: Column) -> DataFrame:
     """Merge article rows per slice and article key.
 
     The tags are exploded, so a partial buffer holds each distinct tag once
-    however many rows an article has.  The count is taken from the first of the
-    exploded rows only.  One shuffle, with partial buffers made before it.
+    however many rows an article has.  Count and attributes are taken from the
+    first of the exploded rows only.  One shuffle, with partial buffers made before it.
     """
     attrs = _present(rows)
-    by_tag = rows.withColumn("tags", clean_tags("tags")).select(
+    by_tag = rows.select(
         *[s.alias("slice") for s in slices],
-        *ARTICLE_KEYS, "count",
-        F.struct("first_ts", *attrs).alias("_first"),
-        F.posexplode_outer("tags").alias("_pos", "_tag"),
+        *ARTICLE_KEYS, *attrs, "count", "first_ts",
+        F.posexplode_outer(clean_tags("tags")).alias("_pos", "_tag"),
     )
     once = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     keys = (["slice"] if slices else []) + ARTICLE_KEYS
@@ -50,7 +49,7 @@ def merge_article_rows(rows: DataFrame, *slices: Column) -> DataFrame:
         .agg(
             F.sum(F.when(once, F.col("count"))).alias("count"),
             F.sort_array(F.collect_set("_tag")).alias("tags"),
-            F.min("_first").alias("_first"),
+            F.min(F.when(once, F.struct("first_ts", *attrs))).alias("_first"),
         )
         .select(*keys, "count", "tags", "_first.*")
     )

@@ -9,10 +9,14 @@ from clickroll.functions.clean import clean_tags
 from clickroll.functions.hashing import java_string_hash
 from clickroll.functions.slices import slice_start
 from clickroll.schemas import TAG_ATTRS
+from clickroll.session import stored
 
 LIST_LIMIT = 50_000
 """Articles in one stored list.  A longer list is stored as several rows."""
 
+BROADCAST_ROWS = 50_000
+"""Most rows of the table of long lists that are sent to every task (some MB)."""
+
 _GROUP = ["slice", "host", "tag"]
 
 
@@ -52,29 +56,44 @@ def _merge_long(rows: DataFrame, slice_col: Column, attrs: list[str]) -> DataFra
     )
 
 
-def nest_articles(long: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """Long form to one row per tag with the list of (article_id, count).
+def _long_lists(long: DataFrame, limit: int) -> DataFrame | None:
+    """Tags with more than ``limit`` articles and the parts they need, if any.
 
-    A tag with more than ``limit`` articles is stored as parts, split by
-    article, so no task builds an unbounded list; ``part`` is 0 for all others.
-    Counts are those of the part, so they add up to the tag's total.  ``long`` is
-    read twice, so hand in a stored table (``clickroll.session.stored``).  The table
-    of such tags is joined without a hint: it is empty or tiny as a rule, and
-    where it is not, the join shuffles and hot tags are split at run time.
+    As a rule there are none, and the table is then left out of the plan.  A few
+    are broadcast, by their counted number; more are joined by a shuffle, where
+    AQE splits the hot ones.
     """
-    attrs = _present(long)
-    wide = (
+    wide = stored(
         long.groupBy(*_GROUP)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > limit)
         .select(*[F.col(k).alias(f"_{k}") for k in _GROUP],
-                F.ceil(F.col("_n") / F.lit(limit)).alias("_parts"))
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GROUP]
-    parted = long.join(wide, same, "left").withColumn(
-        "part",
-        F.coalesce(F.pmod(F.xxhash64("article_id"), F.col("_parts")), F.lit(0)).cast("int"),
+                F.ceil(F.col("_n") / F.lit(limit)).alias("_parts")),
+        "long-lists",
     )
+    found = wide.count()
+    if not found:
+        return None
+    return F.broadcast(wide) if found <= BROADCAST_ROWS else wide
+
+
+def nest_articles(long: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
+    """Long form to one row per tag with the list of (article_id, count).
+
+    A tag with more than ``limit`` articles is stored as parts, split by
+    article, so no task builds an unbounded list; ``part`` is 0 for all others.
+    Counts are those of the part, so they add up to the tag's total.
+
+    ``long`` is read twice, so hand in a stored table (``clickroll.session.stored``).
+    """
+    attrs = _present(long)
+    part = F.lit(0)
+    wide = _long_lists(long, limit)
+    if wide is not None:
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GROUP]
+        long = long.join(wide, same, "left")
+        part = F.coalesce(F.pmod(F.xxhash64("article_id"), F.col("_parts")), part)
+    parted = long.withColumn("part", part.cast("int"))
     keys = [*_GROUP, "part"]
     return (
         parted.groupBy(*keys)

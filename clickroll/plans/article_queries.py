@@ -109,6 +109,7 @@ def _rollup_clicks(name: str, start: str, **options) -> None:
         return rows.withColumn("slice", epoch_seconds("slice"))
 
 
+_rollup_clicks("second", "epoch_s")
 _rollup_clicks("min5", MIN5)
 _rollup_clicks("minute", "epoch_s - epoch_s % 60")
 _rollup_clicks("hour", HOUR)

@@ -17,6 +17,15 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# For streams whose open windows do not fit the executors' heaps: state in RocksDB,
+# outside the heap, with only its changes written per micro-batch.  Slower per row,
+# so it is left to the owner of the session.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""

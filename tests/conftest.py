@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from clickroll import build_session  # noqa: E402
+from clickroll.session import LARGE_STATE_CONF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,8 +19,7 @@ def spark():
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.streaming.stateStore.providerClass":
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            **LARGE_STATE_CONF,
         },
     )
     session.sparkContext.setLogLevel("ERROR")
