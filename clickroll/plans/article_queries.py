@@ -98,7 +98,7 @@ def upsert_article_week(spark, sf_dir):
 
 
 # --- rollups by slice --------------------------------------------------
-_CLICK_AGGS = 'host, count(*) AS "count", sum(dnld_time) AS tot_tm'
+_CLICK_AGGS = 'host, count(*) AS "count", CAST(sum(dnld_time) AS BIGINT) AS tot_tm'
 
 
 def _rollup_clicks(name: str, start: str, **options) -> None:
@@ -150,15 +150,16 @@ _rollup_orders("month_back", "date_trunc('month', o_orderdate) - INTERVAL 3 MONT
 
 
 # --- by category -------------------------------------------------------
-def totals(keys: str, sets: str, sums: str, source: str, totalled: list[str]) -> str:
+def totals(keys: str, sets: str, sums: list[str], source: str, totalled: list[str]) -> str:
+    """Grouping sets of DuckDB, with "All" for what a set leaves out."""
     named = ", ".join(
         f"CASE WHEN grouping({c}) = 1 THEN 'All' ELSE {c} END AS {c}_" for c in totalled
     )
     back = ", ".join(f"{c}_ AS {c}" for c in totalled)
-    outer = ", ".join(k.strip() for k in keys.split(","))
-    cols = ", ".join(s.split(" AS ")[1] for s in sums.split(", "))
+    added = ", ".join(f'CAST(sum("{s}") AS BIGINT) AS "{s}"' for s in sums)
+    names = ", ".join(f'"{s}"' for s in sums)
     return (
-        f"SELECT {outer}, {back}, {cols} FROM (SELECT {keys}, {named}, {sums} "
+        f"SELECT {keys}, {back}, {names} FROM (SELECT {keys}, {named}, {added} "
         f"FROM {source} GROUP BY {keys}, {sets})"
     )
 
@@ -166,7 +167,7 @@ def totals(keys: str, sets: str, sums: str, source: str, totalled: list[str]) ->
 @query(
     "agg_clicks_by_cat",
     duck(
-        totals("slice, host", "ROLLUP(cat)", 'sum("count") AS "count"', "listed", ["cat"]),
+        totals("slice, host", "ROLLUP(cat)", ["count"], "listed", ["cat"]),
         f"rows_ AS ({duck_articles(MONTH)})",
         """listed AS (SELECT * FROM rows_ WHERE "count" >= 5
            AND host IN ('click', 'view', 'purchase', 'signup'))""",

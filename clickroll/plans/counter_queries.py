@@ -34,7 +34,7 @@ def duck_tags(start: str) -> str:
     return f"""long AS (SELECT {start} AS slice, host, unnest(ctags) AS tag, article_id, ts, event_id,
     cat, cat_ids, coalesce(cat_id_hash, 0) AS cat_id_hash FROM clicks),
 per_article AS (SELECT slice, host, tag, article_id, count(*) AS n FROM long GROUP BY ALL),
-lists AS (SELECT slice, host, tag, sum(n) AS "count",
+lists AS (SELECT slice, host, tag, CAST(sum(n) AS BIGINT) AS "count",
     string_agg(article_id || ':' || n, ',' ORDER BY article_id) AS articles FROM per_article GROUP BY 1, 2, 3),
 firsts AS (SELECT slice, host, tag, arg_min({{'cat': cat, 'cat_ids': cat_ids, 'h': cat_id_hash}}, (ts, event_id)) AS f
     FROM long GROUP BY 1, 2, 3)"""
@@ -97,7 +97,7 @@ def merge_article_counts(spark, sf_dir):
 # --- dashboard ---------------------------------------------------------
 _DASH = ["host", "geo_location", "is_india", "referer", "grp", "article_id"]
 _KEYED = f"""SELECT {HOUR} AS slice, host, geo_location, is_india, referer, grp, article_id, count(*) AS "count",
-sum(dnld_time) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).c AS cat FROM clicks GROUP BY 1, 2, 3, 4, 5, 6, 7"""
+CAST(sum(dnld_time) AS BIGINT) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).c AS cat FROM clicks GROUP BY 1, 2, 3, 4, 5, 6, 7"""
 
 
 @query("agg_dashboard_keys", duck(_KEYED))
@@ -115,7 +115,7 @@ def duck_counter(output: str) -> str:
     }[output]
     groups = {"referer": "4", "response": "4", "location": "4, 5"}[output]
     return f"""SELECT {HOUR} + 3600 AS slice, article_id, host, {key}, count(*) AS "count",
-sum(dnld_time) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).c AS cat FROM clicks GROUP BY 1, 2, 3, {groups}"""
+CAST(sum(dnld_time) AS BIGINT) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).c AS cat FROM clicks GROUP BY 1, 2, 3, {groups}"""
 
 
 def counter(spark, sf_dir, output: str) -> DataFrame:
@@ -152,12 +152,9 @@ def _by_cat(spark, sf_dir, output, rollup) -> DataFrame:
     return rows.withColumn("slice", epoch_seconds("slice"))
 
 
-_COUNT = 'sum("count") AS "count"'
-
-
 @query(
     "agg_referer_by_cat",
-    duck(totals("slice, host, referer", "ROLLUP(cat)", _COUNT, "counter", ["cat"]),
+    duck(totals("slice, host, referer", "ROLLUP(cat)", ["count"], "counter", ["cat"]),
          f"counter AS ({duck_counter('referer')})"),
 )
 def agg_referer_by_cat(spark, sf_dir):
@@ -166,7 +163,7 @@ def agg_referer_by_cat(spark, sf_dir):
 
 @query(
     "agg_response_by_cat",
-    duck(totals("slice, host, grp", "ROLLUP(cat)", f"{_COUNT}, sum(tot_tm) AS tot_tm", "counter", ["cat"]),
+    duck(totals("slice, host, grp", "ROLLUP(cat)", ["count", "tot_tm"], "counter", ["cat"]),
          f"counter AS ({duck_counter('response')})"),
 )
 def agg_response_by_cat(spark, sf_dir):
@@ -175,7 +172,7 @@ def agg_response_by_cat(spark, sf_dir):
 
 @query(
     "agg_location_by_cat",
-    duck(totals("slice, host, is_india", "CUBE(cat, location)", _COUNT, "counter", ["cat", "location"]),
+    duck(totals("slice, host, is_india", "CUBE(cat, location)", ["count"], "counter", ["cat", "location"]),
          f"counter AS ({duck_counter('location')})"),
 )
 def agg_location_by_cat(spark, sf_dir):

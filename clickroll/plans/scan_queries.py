@@ -221,8 +221,8 @@ def normalise_clicks(spark, sf_dir):
 
 @query(
     "normalise_agent_events",
-    duck("""SELECT event_id, host, agent_type, CASE WHEN "count" IS NULL THEN 1 ELSE 2 END AS sent_count,
-1 AS "count", dnld_time, 1 AS elements FROM raw""", DUCK_RAW),
+    duck("""SELECT event_id, host, agent_type, CASE WHEN "count" IS NULL THEN 1::BIGINT ELSE 2::BIGINT END AS sent_count,
+1::BIGINT AS "count", dnld_time, 1::BIGINT AS elements FROM raw""", DUCK_RAW),
 )
 def normalise_agent_events(spark, sf_dir):
     return messages.normalise_agent_events(messages.good_clicks(raw_clicks(spark, sf_dir))).drop("ts")

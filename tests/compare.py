@@ -15,6 +15,11 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
+}
+
+
 def duck_connection(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -41,6 +46,10 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
 def compare(spark, con, run, sql: str, sf_dir: str) -> tuple[bool, str]:
     df = run(spark, sf_dir)
     got = rows_of(df.columns, df.collect())
+    kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    odd = {c: (t, kinds.get(c)) for c, t in df.dtypes if KINDS.get(t) != kinds.get(c)}
+    if odd:
+        return False, f"types {odd}"
     rel = con.execute(sql)
     want = rows_of([d[0] for d in rel.description], rel.fetchall())
     if got[0] != want[0]:
