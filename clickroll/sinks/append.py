@@ -11,25 +11,53 @@ from clickroll.functions.slices import day_key
 
 
 def write_partitions(df: DataFrame, path: str, ts_col: str = "slice",
-                     tz: str | None = None) -> None:
-    """Write a batch result into day partitions; the days it holds are replaced.
+                     tz: str | None = None, hourly: bool = False) -> None:
+    """Write a batch result into day (or hour) partitions; those it holds are replaced.
 
-    Rows are brought together by day first, so a day gets few files; AQE splits
-    the days that are too big for one task.
+    Rows are brought together by partition first, so each gets few files; AQE
+    splits the ones that are too big for one task.
     """
-    days = df.withColumn("dt", day_key(ts_col, tz))
+    by = {"dt": day_key(ts_col, tz)}
+    if hourly:
+        by["hr"] = day_key(ts_col, tz, "HH")
     (
-        days.hint("rebalance", "dt")
+        df.withColumns(by)
+        .hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
+        .partitionBy(*by)
         .parquet(path)
     )
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch to a folder of its own; writing it again replaces it."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def read_days(spark: SparkSession, path: str, days: list[str], schema) -> DataFrame:
+    """The given days of a partitioned table; only their folders are listed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f"{path}/dt={d}" for d in days]
+    held = [f for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
+    if not held:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*held)
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int, ts_col: str | None = None) -> None:
+    """One micro-batch to a folder of its own; writing it again replaces it.
+
+    With ``ts_col`` the folder lies below the day, so that a scan of a few days
+    need not list the batches of the others.
+    """
+    if ts_col is None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        return
+    (
+        batch.withColumns({"dt": day_key(ts_col), "batch_id": F.lit(batch_id)})
+        .hint("rebalance", "dt")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "batch_id")
+        .parquet(path)
+    )
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickroll.functions.clean import clean_tags, is_error_doc, to_flag, to_long
@@ -51,10 +51,10 @@ def parse_clicks(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(*others, F.col(value).alias("_value"), F.inline(F.array(parsed)))
 
 
-def _is_bad(parsed: DataFrame):
-    # Not a JSON object at all.  A single odd field marks a row corrupt too, but
-    # its other fields are there and the click counts, so only marked rows are
-    # looked at again.
+def is_bad(parsed: DataFrame) -> Column:
+    """True for a message that is no JSON object."""
+    # A single odd field marks a row corrupt too, but its other fields are there
+    # and the click counts, so only marked rows are looked at again.
     text = F.trim("_value")
     no_object = F.get_json_object("_value", "$").isNull() | ~text.startswith("{")
     return (
@@ -64,12 +64,12 @@ def _is_bad(parsed: DataFrame):
 
 def good_clicks(parsed: DataFrame) -> DataFrame:
     """Messages that are JSON objects."""
-    return parsed.where(~_is_bad(parsed)).drop("_value", CORRUPT)
+    return parsed.where(~is_bad(parsed)).drop("_value", CORRUPT)
 
 
 def quarantined_clicks(parsed: DataFrame) -> DataFrame:
     """Messages that are not, with their text; they take no part in any count."""
-    return parsed.where(_is_bad(parsed)).select(F.col("_value").alias("value"))
+    return parsed.where(is_bad(parsed)).select(F.col("_value").alias("value"))
 
 
 def normalise_clicks(raw: DataFrame) -> DataFrame:
