@@ -82,10 +82,8 @@ def _quarantine(parsed: DataFrame, seen: Observation, path: str, batch_id: int)
         append.write_batch(messages.quarantined_clicks(parsed), path, batch_id)
 
 
-def _clicks(batch: DataFrame, seen: Observation) -> tuple[DataFrame, DataFrame]:
-    parsed = messages.parse_clicks(batch)
-    watched = parsed.observe(seen, F.count_if(messages.is_bad(parsed)).alias("bad"))
-    return parsed, messages.normalise_clicks(messages.good_clicks(watched))
+def _clicks(batch: DataFrame) -> DataFrame:
+    return messages.normalise_clicks(messages.good_clicks(messages.parse_clicks(batch)))
 
 
 # --- streams -----------------------------------------------------------
@@ -97,7 +95,9 @@ def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = Non
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
-        parsed, clicks = _clicks(batch, seen)
+        parsed = messages.parse_clicks(batch)
+        watched = parsed.observe(seen, F.count_if(messages.is_bad(parsed)).alias("bad"))
+        clicks = messages.normalise_clicks(messages.good_clicks(watched))
         append.write_batch(articles.article_5min(clicks), tables.path("article_5min"), batch_id, "slice")
         _quarantine(parsed, seen, tables.path("quarantine"), batch_id)
         if "offset" in batch.columns:
@@ -109,8 +109,7 @@ def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = Non
 def tag_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -> StreamingQuery:
     """Messages to 5-minute tag rows, in long form."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _, clicks = _clicks(batch, Observation())
-        append.write_batch(tags.tag_article_5min(clicks), tables.path("tag_5min"), batch_id, "slice")
+        append.write_batch(tags.tag_article_5min(_clicks(batch)), tables.path("tag_5min"), batch_id, "slice")
 
     return _start(source, write, tables.checkpoint("tag"), trigger)
 
@@ -118,9 +117,8 @@ def tag_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -
 def dashboard_stream(source: DataFrame, tables: Tables, outputs: list[int] | None = None,
                      trigger: dict | None = None) -> StreamingQuery:
     """Messages to the referer, response and location counters."""
-    clicks = messages.normalise_clicks(messages.good_clicks(messages.parse_clicks(source)))
     return streams.dashboard_stream(
-        clicks, tables.root, tables.checkpoint("dashboard"), outputs or list(dashboard.OUTPUTS), trigger
+        _clicks(source), tables.root, tables.checkpoint("dashboard"), outputs or list(dashboard.OUTPUTS), trigger
     )
 
 
@@ -129,13 +127,14 @@ def device_table(tables: Tables) -> UpsertTable:
     return UpsertTable(tables.path("host_device"), ["host", "device", "browser"], ["count"])
 
 
+def agent_table(tables: Tables) -> UpsertTable:
+    """The agent dimension: the first description of an agent stays."""
+    return UpsertTable(tables.path("agents"), ["user_agent"], [], ["detail"])
+
+
 def read_agents(spark: SparkSession, tables: Tables, before: int | None = None) -> DataFrame:
-    """The agent dimension, as it was before a micro-batch."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(tables.path("agents"))
-    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
-        return spark.createDataFrame([], AGENT_DIM)
-    held = append.read_batches(spark, tables.path("agents"), AGENT_DIM)
-    return (held if before is None else held.where(F.col("batch_id") < before)).drop("batch_id")
+    """The agent dimension, or what it was before a micro-batch."""
+    return agent_table(tables).read(spark, before, AGENT_DIM)
 
 
 def device_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -> StreamingQuery:
@@ -146,7 +145,7 @@ def device_stream(source: DataFrame, tables: Tables, trigger: dict | None = None
         sums = devices.host_agent_sums(events, slice_start("hour", "ts")).persist()
         try:
             dim = read_agents(spark, tables, batch_id)
-            ledgers.add_new_agents(sums, dim, tables.path("agents"), batch_id)
+            agent_table(tables).upsert(devices.new_agents(sums, dim), batch_id)
             rows = stored(devices.host_agent(sums, dim), "host-agent")
         finally:
             sums.unpersist()

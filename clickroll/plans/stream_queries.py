@@ -261,17 +261,13 @@ def sink_offset_ledger(spark, sf_dir):
 )
 def sink_new_agents(spark, sf_dir):
     source = with_user_group(clicks(spark, sf_dir))
-    path = work_dir(spark, "agents")
-    agent_dim(source).write.parquet(f"{path}/batch_id=-1")
-
-    def dim() -> DataFrame:
-        return spark.read.parquet(path).drop("batch_id")
-
-    for batch in (0, 1):
-        seen = source.where(F.col("event_id") % 2 == batch).select("agent_text")
-        unknown = devices.new_agents(seen, dim(), "agent_text")
-        append.write_batch(stored(unknown, "unknown"), path, batch)
-    return dim().select("user_agent", "detail.browser_name", "detail.device_category")
+    target = UpsertTable(work_dir(spark, "agents"), ["user_agent"], [], ["detail"])
+    target.upsert(agent_dim(source), 0)
+    for batch in (1, 2, 2):
+        seen = source.where(F.col("event_id") % 2 == batch % 2).select("agent_text")
+        known = target.read(spark, before=batch)
+        target.upsert(devices.new_agents(seen, known, "agent_text"), batch)
+    return target.read(spark).select("user_agent", "detail.browser_name", "detail.device_category")
 
 
 @query("sink_run_ledger", duck(f"SELECT DISTINCT 'by-cat' AS job, {HOUR} AS exec_ts FROM clicks"))

@@ -1,12 +1,10 @@
-"""Offset and run ledgers, and the growing agent dimension."""
+"""Offset and run ledgers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickroll.operators.devices import new_agents
-
 
 def offset_ranges(batch: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Offset range of each topic and partition a batch holds."""
@@ -37,8 +35,3 @@ def log_runs(done: DataFrame, path: str) -> None:
 def runs(ledger: DataFrame) -> DataFrame:
     """Each job run once, however often it was noted."""
     return ledger.select("job", "exec_ts").dropDuplicates()
-
-
-def add_new_agents(agents: DataFrame, dim: DataFrame, path: str, batch_id: int) -> None:
-    """Append the batch's unseen agents to the dimension, in the batch's own folder."""
-    new_agents(agents, dim).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

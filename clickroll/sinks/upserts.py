@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BATCH = re.compile(r"batch_id=(\d+)$")
 _SEGMENT = re.compile(r"lo=(\d+)-hi=(\d+)$")
@@ -118,14 +119,22 @@ class UpsertTable:
         frames = spark.read.schema(schema).option("recursiveFileLookup", "true")
         return frames.parquet(*folders)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current rows of the table."""
+    def read(self, spark: SparkSession, before: int | None = None,
+             empty: T.StructType | None = None) -> DataFrame:
+        """Current rows of the table, or those from before a batch.
+
+        ``empty`` is the schema to return no rows with while nothing is written.
+        """
         segments = self._segments(spark)
-        entries = self._read(
-            spark, segments, self._batches(spark, segments[-1][1] if segments else -1)
-        )
+        batches = self._batches(spark, segments[-1][1] if segments else -1)
+        if before is not None:
+            segments = [s for s in segments if s[1] < before]
+            batches = [b for b in batches if b < before]
+        entries = self._read(spark, segments, batches)
         if entries is None:
-            raise ValueError(f"no finished batch in {self.path}")
+            if empty is None:
+                raise ValueError(f"no finished batch in {self.path}")
+            return spark.createDataFrame([], empty)
         return self._fold(entries).drop("_order")
 
     def compact(self, spark: SparkSession, everything: bool = False) -> tuple[int, int] | None:

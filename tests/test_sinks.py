@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickroll import work_dir
+from clickroll.operators.devices import new_agents
+from clickroll.schemas import AGENT_DIM
 from clickroll.sinks import append, ledgers
 from clickroll.sinks.upserts import UpsertTable
 
@@ -86,15 +88,19 @@ def test_ledgers(spark, tmp_path):
 
 
 def test_new_agents_are_added_once(spark, tmp_path):
-    path = str(tmp_path / "dim")
+    dim = UpsertTable(str(tmp_path / "dim"), ["user_agent"], [], ["detail"])
     agents = spark.createDataFrame([("Chrome/1",), ("Firefox/2",), ("Chrome/1",)], "agent_type string")
-    empty = spark.createDataFrame([], "user_agent string, detail struct<browser_name:string>")
-    ledgers.add_new_agents(agents, empty, path, 0)
-    ledgers.add_new_agents(agents, empty, path, 0)
-    dim = spark.read.parquet(path).drop("batch_id")
-    assert dim.count() == 2
-    ledgers.add_new_agents(agents, dim, path, 1)
-    assert spark.read.parquet(path).count() == 2
+
+    def add(rows, batch):
+        dim.upsert(new_agents(rows, dim.read(spark, before=batch, empty=AGENT_DIM)), batch)
+
+    add(agents, 0)
+    add(agents, 0)  # a retry does not see what its first run wrote
+    assert {r.user_agent for r in dim.read(spark).collect()} == {"Chrome/1", "Firefox/2"}
+    add(agents.union(spark.createDataFrame([("Edge/3",)], "agent_type string")), 1)
+    assert dim.compact(spark) == (0, 1)
+    assert {(r.user_agent, r.detail.browser_name) for r in dim.read(spark).collect()} == {
+        ("Chrome/1", "Chrome"), ("Firefox/2", "Firefox"), ("Edge/3", "Edge")}
 
 
 def test_work_dir_follows_the_session(spark):
