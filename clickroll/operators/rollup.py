@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from clickroll.functions.slices import slice_start
 
@@ -21,12 +20,3 @@ def rollup_by_slice(
     """Group by slice start and ``keys``; the slice comes out as ``slice``."""
     start = slice_start(slice_name, ts_col, n=n, back=back, tz=tz)
     return df.groupBy(start.alias("slice"), *keys).agg(*aggs)
-
-
-def windowed(ts_col: str, length: str, step: str | None = None) -> Column:
-    """Event-time window for streams: its end is what a watermark closes.
-
-    Windows of whole hours start on the epoch, not on the local hour; use
-    ``start`` shifts or the slices of ``slice_start`` where that matters.
-    """
-    return F.window(ts_col, length, step) if step else F.window(ts_col, length)

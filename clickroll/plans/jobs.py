@@ -15,6 +15,7 @@ by their start.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -34,6 +35,8 @@ from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
 from clickroll.streaming import jobs as streams
 
+log = logging.getLogger(__name__)
+
 _ATTRS = "content_type bigint, cat string, subcat array<string>, url string, publish_time bigint, " \
     "author string, channel string, cat_ids array<string>, is_group boolean, cat_id_hash bigint"
 ARTICLES = f"slice timestamp, article_id string, host string, is_app bigint, count bigint, " \
@@ -96,9 +99,16 @@ def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = Non
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         parsed = messages.parse_clicks(batch)
-        watched = parsed.observe(seen, F.count_if(messages.is_bad(parsed)).alias("bad"))
+        no_key = F.col("host").isNull() | F.col("articleId").isNull()
+        watched = parsed.observe(
+            seen,
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if(messages.is_bad(parsed)).alias("bad"),
+            F.count_if(~messages.is_bad(parsed) & no_key).alias("error_docs"),
+        )
         clicks = messages.normalise_clicks(messages.good_clicks(watched))
         append.write_batch(articles.article_5min(clicks), tables.path("article_5min"), batch_id, "slice")
+        log.info("batch %s: %s", batch_id, seen.get)
         _quarantine(parsed, seen, tables.path("quarantine"), batch_id)
         if "offset" in batch.columns:
             append.write_batch(ledgers.offset_ranges(batch), tables.path("offsets"), batch_id)

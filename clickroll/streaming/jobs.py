@@ -140,12 +140,3 @@ def offset_stream(messages: DataFrame, path: str, checkpoint: str,
         .trigger(**(trigger or trigger_for(None)))
         .start()
     )
-
-
-def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None,
-                 schema=None) -> DataFrame:
-    """A Parquet file, or the files of a folder, as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)

@@ -32,8 +32,13 @@ def run(spark, tmp_path_factory):
         return messages.read_click_stream(
             spark, "parquet", {"path": f"{folder}/in", "maxFilesPerTrigger": "1"}, "value string")
 
+    logged = []
+    jobs.log.info = lambda text, *args: logged.append(args)
     for job in (jobs.article_stream, jobs.tag_stream, jobs.dashboard_stream, jobs.device_stream):
         job(source(), tables).awaitTermination()
+    assert [batch for batch, _ in logged] == [0, 1]
+    assert sum(seen["messages"] for _, seen in logged) == events.count()
+    assert sum(seen["error_docs"] for _, seen in logged) == 0 < sum(seen["bad"] for _, seen in logged)
     for hour in (DAY, DAY + timedelta(hours=5)):
         for n in range(5):
             jobs.hourly_articles(spark, tables, hour + timedelta(hours=n))

@@ -11,6 +11,7 @@ from clickroll.plans.article_queries import shown
 from clickroll.plans.inputs import SCHEMAS, as_clicks, clicks, table
 from clickroll.schemas import ARTICLE_KEYS
 from clickroll.sinks import append
+from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources.clicks import read_click_stream
 from clickroll.sources.text import file_lines, socket_lines
 from clickroll.streaming import jobs
@@ -116,6 +117,15 @@ def test_dashboard_fan_out_equals_batch(spark, sf, split_dir, tmp_path):
     assert not (tmp_path / "t" / "response").exists()
 
 
+def test_upsert_stream_equals_batch(spark, sf, split_dir, tmp_path):
+    def per_host(rows):
+        return rows.groupBy("host").agg(F.count(F.lit(1)).alias("count"), F.min("ts").alias("first_ts"))
+
+    hosts = UpsertTable(f"{tmp_path}/t", ["host"], ["count"], order="first_ts")
+    jobs.upsert_stream(stream(spark, split_dir), hosts, per_host, f"{tmp_path}/c").awaitTermination()
+    same(hosts.read(spark), per_host(clicks(spark, sf)).drop("first_ts"))
+
+
 @pytest.mark.parametrize("kind", ["windowed", "same"])
 def test_stream_joins_equal_batch(spark, sf, split_dir, tmp_path, kind):
     def pairs(source):
