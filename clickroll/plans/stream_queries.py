@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from clickroll.plans.inputs import (
 )
 from clickroll.plans.registry import query
 from clickroll.schemas import ARTICLE_KEYS, OFFSET_RANGE, epoch_seconds
-from clickroll.session import stored, work_dir
+from clickroll.session import partitions_for, stored, work_dir
 from clickroll.sinks import append, ledgers
 from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
@@ -28,20 +30,27 @@ def _epoch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slice", epoch_seconds("slice"))
 
 
-def run_appended(stream: DataFrame, label: str, transform=None, schema=None) -> DataFrame:
-    """Append a stream to a table until its input is used up; the table."""
+def run_appended(stream: DataFrame, label: str, transform=None, schema=None,
+                 source: str | None = None) -> DataFrame:
+    """Append a stream to a table until its input is used up; the table.
+
+    ``source`` is the input file of a stream that keeps state.
+    """
     spark = stream.sparkSession
     base = work_dir(spark, label)
-    append.append_stream(stream, f"{base}/table", f"{base}/checkpoint", transform).awaitTermination()
+    with partitions_for(spark, source) if source else nullcontext():
+        query_ = append.append_stream(stream, f"{base}/table", f"{base}/checkpoint", transform)
+        query_.awaitTermination()
     out = append.read_batches(spark, f"{base}/table", schema or stream.schema)
     return out.drop("batch_id")
 
 
-def run_latest(rows: DataFrame, label: str, keys: list[str]) -> DataFrame:
+def run_latest(rows: DataFrame, label: str, keys: list[str], source: str) -> DataFrame:
     """Run a stateful stream to its end; the last version of each row."""
     spark = rows.sparkSession
     base = work_dir(spark, label)
-    jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    with partitions_for(spark, source):
+        jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", keys, rows.schema)
 
 
@@ -69,7 +78,7 @@ def src_text_lines(spark, sf_dir):
 @query("stream_article_5min", duck(duck_articles(MIN5)))
 def stream_article_5min(spark, sf_dir):
     rows = jobs.article_5min_stream(click_stream(spark, sf_dir))
-    return shown(run_latest(rows, "article-stream", ["slice", *ARTICLE_KEYS]))
+    return shown(run_latest(rows, "article-stream", ["slice", *ARTICLE_KEYS], f"{sf_dir}/events.parquet"))
 
 
 _TIMED_WORDS = """words AS (SELECT epoch_s, unnest([host, cat, host]) AS word FROM clicks)"""
@@ -86,7 +95,7 @@ def _timed_words(source: DataFrame) -> DataFrame:
 )
 def stream_windowed_count(spark, sf_dir):
     rows = jobs.windowed_word_count(_timed_words(click_stream(spark, sf_dir)), "ts", "10 seconds")
-    return _epoch(run_latest(rows, "tumbling", ["slice", "word"]))
+    return _epoch(run_latest(rows, "tumbling", ["slice", "word"], f"{sf_dir}/events.parquet"))
 
 
 @query(
@@ -97,7 +106,7 @@ epoch_s - epoch_s % 10 - 10, epoch_s - epoch_s % 10]) AS slice, word FROM words)
 def stream_sliding_count(spark, sf_dir):
     source = _timed_words(click_stream(spark, sf_dir))
     rows = jobs.windowed_word_count(source, "ts", "30 seconds", "10 seconds")
-    return _epoch(run_latest(rows, "sliding", ["slice", "word"]))
+    return _epoch(run_latest(rows, "sliding", ["slice", "word"], f"{sf_dir}/events.parquet"))
 
 
 @query(
@@ -111,7 +120,8 @@ def stream_running_count(spark, sf_dir):
     lines = text_column_lines(event_stream(spark, sf_dir, "documents"), "text")
     said = table(spark, sf_dir, "conversations").select(F.col("text").alias("line"))
     seed = words.word_count(words.split_words(said))
-    return run_latest(jobs.running_count(words.split_words(lines), seed), "running", ["word"])
+    counts = jobs.running_count(words.split_words(lines), seed)
+    return run_latest(counts, "running", ["word"], f"{sf_dir}/documents.parquet")
 
 
 @query("stream_restart", duck('SELECT host, count(*) AS "count" FROM clicks GROUP BY 1'))
@@ -124,7 +134,8 @@ def stream_restart(spark, sf_dir):
         events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{base}/in")
         stream = as_clicks(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
         counts = stream.groupBy("host").agg(F.count(F.lit(1)).alias("count"))
-        jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        with partitions_for(spark, f"{sf_dir}/events.parquet"):
+            jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", ["host"], counts.schema)
 
 
@@ -139,14 +150,16 @@ _PAIRS = """SELECT a.article_id AS "key", a.event_id AS left_value, b.event_id A
 FROM clicks a JOIN clicks b ON a.article_id = b.article_id AND a.host = 'click' AND b.host = 'view' """
 
 
-def _pairs(joined: DataFrame, label: str) -> DataFrame:
-    return run_appended(joined.select("key", "left_value", "right_value"), label)
+def _pairs(joined: DataFrame, label: str, sf_dir: str) -> DataFrame:
+    pairs = joined.select("key", "left_value", "right_value")
+    return run_appended(pairs, label, source=f"{sf_dir}/events.parquet")
 
 
 @query("join_streams_batch", duck(_PAIRS + "AND a.epoch_s // 3600 = b.epoch_s // 3600"))
 def join_streams_batch(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
-    return _pairs(joins.join_same_batch(left, right, "article_id", "ts", "id", 3600), "join-batch")
+    pairs = joins.join_same_batch(left, right, "article_id", "ts", "id", 3600)
+    return _pairs(pairs, "join-batch", sf_dir)
 
 
 _NEAR = "AND b.ts > a.ts - INTERVAL 60 MINUTE AND b.ts < a.ts + INTERVAL 20 MINUTE"
@@ -155,7 +168,8 @@ _NEAR = "AND b.ts > a.ts - INTERVAL 60 MINUTE AND b.ts < a.ts + INTERVAL 20 MINU
 @query("join_streams_windowed", duck(_PAIRS + _NEAR))
 def join_streams_windowed(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
-    return _pairs(joins.join_windowed(left, right, "article_id", "ts", "id", 1200, 3600), "join-windowed")
+    pairs = joins.join_windowed(left, right, "article_id", "ts", "id", 1200, 3600)
+    return _pairs(pairs, "join-windowed", sf_dir)
 
 
 @query("join_tables_windowed", duck(_PAIRS + _NEAR))

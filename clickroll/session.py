@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+PARTITION_BYTES = 64 << 20
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, path: str) -> Iterator[int]:
+    """Fewer shuffle partitions, while streams over a small input are started.
+
+    A stream keeps the number of state partitions it was started with, and AQE
+    does not adapt them.  Inside the block the session's number is lowered to
+    what the input at ``path`` needs, one partition per core at least.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(key))
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = root.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(root).getLength()
+    needed = max(spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    spark.conf.set(key, min(before, needed))
+    try:
+        yield min(before, needed)
+    finally:
+        spark.conf.set(key, before)
