@@ -1,6 +1,6 @@
 """All queries of this subpackage: importing their modules registers them."""
 
-from clickroll.llm import decontaminate, lines, quality, simhash  # noqa: F401
+from clickroll.llm import decontaminate, lines, pieces, quality, simhash  # noqa: F401
 from clickroll.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
