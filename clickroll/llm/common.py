@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -64,7 +66,7 @@ def alnum_words(raw: bytes) -> list[bytes]:
 class Memo(dict):
     """Results by key, emptied when ``limit`` keys are held, so its memory is bounded."""
 
-    def __init__(self, compute: Callable, limit: int = 200_000) -> None:
+    def __init__(self, compute: Callable, limit: int = 400_000) -> None:
         super().__init__()
         self.compute, self.limit = compute, limit
 
@@ -75,6 +77,14 @@ class Memo(dict):
         return value
 
 
+def per_worker(name: str, make: Callable):
+    """What ``make`` builds, built once in each Python worker and kept for its later tasks."""
+    module = sys.modules.setdefault("_clickroll_llm_worker", types.ModuleType("_clickroll_llm_worker"))
+    if name not in module.__dict__:
+        module.__dict__[name] = make()
+    return module.__dict__[name]
+
+
 def word_hashes(seed: int = 0) -> Memo:
     """64-bit hashes of words."""
     return Memo(lambda w: xxhash.xxh3_64_intdigest(w, seed))

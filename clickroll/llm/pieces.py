@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import Memo, encoded, query, table
+from clickroll.llm.common import Memo, encoded, per_worker, query, table
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -137,7 +137,7 @@ class Codec:
 
     _UNITS = re.compile(r"\n[^ \n]*| +[^ \n]*|[^ \n]+")
 
-    def __init__(self, model: bytes, memo: int = 200_000) -> None:
+    def __init__(self, model: bytes, memo: int = 300_000) -> None:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -205,6 +205,11 @@ class Codec:
         return self.library.decode(ids)
 
 
+def worker_codec(model: bytes) -> Codec:
+    """The codec of a model, kept for the later tasks of a worker."""
+    return per_worker(f"pieces-{hashlib.sha256(model).hexdigest()}", lambda: Codec(model))
+
+
 _FIELDS = {"n_tokens": "long", "ids": "array<int>", "begins": "array<int>", "ends": "array<int>",
            "ids_sha256": "string", "spans_crc32": "long", "decoded": "string", "decoded_sha256": "string"}
 
@@ -221,7 +226,7 @@ def encode(text: Column, model: bytes, *fields: str) -> Column:
 
     @F.pandas_udf(", ".join(f"{f} {_FIELDS[f]}" for f in fields))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(model)
+        codec = worker_codec(model)
         for texts in batches:
             rows = []
             for t in texts.array:
@@ -246,7 +251,7 @@ def decode(ids: Column, model: bytes) -> Column:
     """Text of an array of ids; null is no ids."""
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(model)
+        codec = worker_codec(model)
         for arrays in batches:
             yield pd.Series([codec.decode([int(i) for i in a]) for a in arrays.array], dtype="object")
 
