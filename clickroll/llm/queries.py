@@ -1,6 +1,6 @@
 """All queries of this subpackage: importing their modules registers them."""
 
-from clickroll.llm import chat, decontaminate, lines, pieces, pii, quality, simhash, token_files  # noqa: F401
+from clickroll.llm import ann, chat, decontaminate, lines, pieces, pii, quality, simhash, token_files  # noqa: F401
 from clickroll.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
