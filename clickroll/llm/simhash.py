@@ -119,10 +119,10 @@ def _label_links(prints: DataFrame, distance: int) -> DataFrame:
     bucket = Window.partitionBy("bit", "rest")
     shared = _variants(prints, distance).withColumns(
         {"lo": F.min("label").over(bucket), "hi": F.max("label").over(bucket)}).where("lo <> hi")
-    shared = stored(shared.select("bit", "rest", "fp", "label"), "variants")
-    sizes = shared.groupBy("bit", "rest", "label").count()
-    lead = sizes.groupBy("bit", "rest").agg(F.max_by("label", F.struct("count", "label")).alias("lead"))
-    led = shared.join(lead, ["bit", "rest"])
+    # all on the one shuffle by key: size of each label in its bucket, then the largest label
+    sized = shared.withColumn("size", F.count("*").over(Window.partitionBy("bit", "rest", "label")))
+    led = sized.withColumn("lead", F.max(F.struct("size", "label")).over(bucket)["label"]).select(
+        "bit", "rest", "fp", "label", "lead")
     rest = led.where("label <> lead").select("bit", "rest", F.col("fp").alias("x"), F.col("label").alias("u"))
     # every pair of labels has a side that does not lead; two such sides meet once
     pairs = rest.join(led.withColumnsRenamed({"fp": "y", "label": "v"}), ["bit", "rest"]).where(
