@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def carried(df: DataFrame, **named: Column) -> DataFrame:
+    """All columns of ``df`` as the struct ``_row``, next to the named ones.
+
+    Columns of the caller cannot clash with those of an operator; ``select("_row.*")`` brings them back.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if df.columns else F.struct(F.lit(1).alias("_"))
+    return df.select(row.alias("_row"), *[c.alias(n) for n, c in named.items()])
+
+
 def encoded(text: str | None) -> bytes:
     """UTF-8 of a text; null is empty, and lone surrogates become question marks."""
     return (text or "").encode("utf-8", "replace")

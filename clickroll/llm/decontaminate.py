@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import alnum_words, encoded, query, rows_of, table
+from clickroll.llm.common import alnum_words, carried, encoded, query, rows_of, table
 from clickroll.session import stored
 
 WINDOW = 13
@@ -296,8 +296,9 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, *, key: str = "d
     """The rows of ``documents`` that are not contaminated."""
     bad = decontaminate(documents, benchmark, key=key, text=text, **options).where(contaminated()).select(
         "_id", "_h").distinct()
-    return documents.join(bad, F.col(key).cast("string").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(text) == F.col("_h")), "left_anti")
+    rows = carried(documents, _key=F.col(key).cast("string"), _hash=F.xxhash64(text))
+    clean = rows.join(bad, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_anti")
+    return clean.select("_row.*")
 
 
 @query("op3_decontaminate")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import query, table
+from clickroll.llm.common import carried, query, table
 from clickroll.session import stored
 
 CHUNK_LINES = 4
@@ -99,18 +99,18 @@ def dedup_lines(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
     """
     gone = removed_chunks(documents, key=key, text=text, chunk_lines=chunk_lines, min_lines=min_lines).select(
         F.col("_id").alias("_i"), F.col("_h").alias("_g"), "gone")
-    own = documents.withColumn("_h", F.xxhash64(text))
-    both = own.join(gone, F.col(key).eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
-    lines = lines_of(F.col(text))
+    own = carried(documents, _key=F.col(key), _t=F.col(text), _h=F.xxhash64(text))
+    both = own.join(gone, F.col("_key").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
+    lines = lines_of(F.col("_t"))
     kept = F.filter(chunk_spans(lines, chunk_lines), lambda s: ~F.array_contains("gone", s["no"]))
     kept_lines = F.flatten(F.transform(kept, lambda s: F.slice(lines, s["start"], s["size"])))
     both = both.withColumn("_n_lines", F.size(lines)).withColumn(
         "_kept", F.when(F.col("gone").isNotNull(), kept_lines))
-    return both.withColumn(
-        "_n_removed", F.when(F.col("gone").isNull(), 0).otherwise(F.col("_n_lines") - F.size("_kept"))
-    ).withColumn(
-        text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    ).select(*documents.columns, "_n_lines", "_n_removed")
+    new_text = F.when(F.col("gone").isNull(), F.col("_t")).otherwise(F.array_join("_kept", "\n"))
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.col("_n_lines") - F.size("_kept"))
+    return both.select(
+        *[new_text.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in documents.columns],
+        F.col("_n_lines"), removed.alias("_n_removed"))
 
 
 _SQL = f"""

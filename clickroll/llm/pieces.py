@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import Memo, encoded, per_worker, query, table
+from clickroll.llm.common import Memo, carried, encoded, per_worker, query, table
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -266,9 +266,9 @@ def read_model(path: str) -> bytes:
 
 def with_pieces(documents: DataFrame, model: bytes, *fields: str, text: str = "text") -> DataFrame:
     """The rows of ``documents`` with the named fields as columns; clashing ones are replaced."""
-    kept = [c for c in documents.columns if c not in fields]
-    return documents.select("*", encode(F.col(text), model, *fields).alias("_pieces")).select(
-        *kept, *[F.col(f"_pieces.{f}").alias(f) for f in fields])
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in documents.columns if c not in fields]
+    rows = carried(documents, _pieces=encode(F.col(text), model, *fields))
+    return rows.select(*kept, *[F.col(f"_pieces.{f}").alias(f) for f in fields])
 
 
 @query("op5_sentencepiece")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import encoded, query, space_words, table
+from clickroll.llm.common import carried, encoded, query, space_words, table
 from clickroll.llm.components import components
 from clickroll.session import stored
 
@@ -138,8 +138,8 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
     most ``distance`` differing bits.
     """
     rows = stored(documents.select(
-        F.col(key), fingerprint(F.col(text), shingle, seed).alias("fp")), "fingerprints")
-    prints = rows.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("copies"))
+        F.col(key).alias("_key"), fingerprint(F.col(text), shingle, seed).alias("fp")), "fingerprints")
+    prints = rows.groupBy("fp").agg(F.min("_key").alias("first"), F.count("*").alias("copies"))
     merged = components(_cheap_links(prints, distance)).select(
         F.col("node").alias("fp"), F.col("root").alias("label"))
     labelled = stored(prints.join(merged, "fp", "left").select(
@@ -149,7 +149,7 @@ def near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "t
     joined = labelled.join(roots, "label", "left").withColumn("root", F.coalesce("root", "label"))
     firsts = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     members = joined.join(firsts, "root").select("fp", "component_id")
-    return rows.join(members, "fp").select(key, "fp", "component_id")
+    return rows.join(members, "fp").select(F.col("_key").alias(key), "fp", "component_id")
 
 
 def unique_documents(documents: DataFrame, *, key: str = "doc_id", text: str = "text", distance: int = 4,
@@ -160,8 +160,9 @@ def unique_documents(documents: DataFrame, *, key: str = "doc_id", text: str = "
     """
     found = near_duplicates(documents, key=key, text=text, distance=distance, shingle=shingle)
     first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_first")).distinct()
-    kept = documents.join(first, F.col(key) == F.col("_first"), "left_semi")
-    return kept.dropDuplicates([key]).unionByName(documents.where(F.col(key).isNull()))
+    rows = carried(documents, _key=F.col(key))
+    kept = rows.where(F.col("_key").isNotNull()).join(first, F.col("_key") == F.col("_first"), "left_semi")
+    return kept.dropDuplicates(["_key"]).union(rows.where(F.col("_key").isNull())).select("_row.*")
 
 
 @query("op1_simhash")
