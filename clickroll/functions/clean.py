@@ -22,11 +22,6 @@ def to_long(c: Column | str, default: int | None = None) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 
-def to_int(c: Column | str) -> Column:
-    """Any numeric text to a truncated int."""
-    return _col(c).try_cast("double").try_cast("int")
-
-
 def to_flag(c: Column | str) -> Column:
     """True only for the word "true" in any case."""
     return F.coalesce(F.lower(_col(c)) == "true", F.lit(False))

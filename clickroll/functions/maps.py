@@ -17,13 +17,6 @@ def merge_count_maps(left: Column, right: Column) -> Column:
     )
 
 
-def list_to_map(items: Column) -> Column:
-    """List of (article_id, count) structs to a map; articles are unique in it."""
-    return F.map_from_entries(
-        F.transform(items, lambda i: F.struct(i["article_id"], i["count"]))
-    )
-
-
 def map_to_list(counts: Column) -> Column:
     """Map back to a sorted list of (article_id, count) structs."""
     return F.sort_array(

@@ -101,9 +101,11 @@ def slice_start(name: str, ts: Column | str, n: int = 5, back: int = 0,
     """Start of the slice that holds ``ts``, or of the one ``back`` slices earlier.
 
     ``half_hour`` is the next half-hour mark, not the one before.  Weeks start
-    on Sunday.  ``n`` is the step of ``min5`` (minutes) and ``hour_n`` (hours).
+    on Sunday.  An interval name (``WEEK``) stands for its slice.  ``n`` is the step
+    of ``min5`` (minutes) and ``hour_n`` (hours).
     """
     ts = F.col(ts) if isinstance(ts, str) else ts
+    name = INTERVAL_SLICES.get(name, name)
     if tz is None:
         return _local_start(name, ts, n, back)
     wall = F.from_utc_timestamp(ts, tz)

@@ -10,14 +10,12 @@ from clickroll.functions.slices import seconds, slice_start
 from clickroll.schemas import DASHBOARD_KEYS
 
 
-def dashboard_keys(clicks: DataFrame, tz: str | None = None) -> DataFrame:
-    """Clicks per hour and the six dashboard keys.
+def dashboard_counts(clicks: DataFrame, tz: str | None = None) -> DataFrame:
+    """Clicks per hour, the six dashboard keys and the category: what all counters add up.
 
-    The category of the earliest click and the download time ride along for the
-    rollups by category.  As with the articles, a hash aggregate that also keys
-    on the category sees the clicks, and the merge sees only its result.
+    A hash aggregate; the merges behind it see only its result.
     """
-    counted = (
+    return (
         clicks.groupBy(slice_start("hour", "ts", tz=tz).alias("slice"), *DASHBOARD_KEYS, "cat")
         .agg(
             F.count(F.lit(1)).alias("count"),
@@ -25,7 +23,11 @@ def dashboard_keys(clicks: DataFrame, tz: str | None = None) -> DataFrame:
             F.min("ts").alias("first_ts"),
         )
     )
-    return _first_cat(counted, ["slice", *DASHBOARD_KEYS])
+
+
+def dashboard_keys(clicks: DataFrame, tz: str | None = None) -> DataFrame:
+    """Clicks per hour and the six dashboard keys, with the category of the earliest click."""
+    return _first_cat(dashboard_counts(clicks, tz), ["slice", *DASHBOARD_KEYS])
 
 
 def _first_cat(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,7 +45,7 @@ def _hour_end(rows: DataFrame) -> DataFrame:
 
 
 def referer_counts(keyed: DataFrame) -> DataFrame:
-    """Per hour end, article, host and referer; a missing referer is "none"."""
+    """From dashboard rows, with or without their category merged: per hour end, article, host and referer; a missing referer is "none"."""
     rows = _hour_end(keyed.withColumn("referer", default_referer("referer")))
     return _first_cat(rows, ["slice", "article_id", "host", "referer"])
 
@@ -59,6 +61,11 @@ def location_counts(keyed: DataFrame) -> DataFrame:
     return _first_cat(rows, ["slice", "article_id", "host", "is_india", "location"])
 
 
+def merge_counter(rows: DataFrame, output: str) -> DataFrame:
+    """Entries of a counter table added up per key."""
+    return _first_cat(rows, COUNTERS[output][1])
+
+
 # Output codes of the dashboard job.
 OUTPUTS = {1: "referer", 2: "response", 3: "location"}
 

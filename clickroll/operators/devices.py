@@ -27,15 +27,19 @@ def new_agents(agents: DataFrame, dim: DataFrame, column: str = "agent_type") ->
 def join_agent_dim(rows: DataFrame, dim: DataFrame, column: str = "agent_type") -> DataFrame:
     """Add the agent's details, from the dimension or else from its text.
 
+    Unknown agents are described once each, not once a row.
+    """
+    return with_details(rows, dim.unionByName(new_agents(rows, dim, column)), column)
+
+
+def with_details(rows: DataFrame, agents: DataFrame, column: str = "agent_type") -> DataFrame:
+    """Add details from a table of all agents the rows have; null agents are "unknown".
+
     No broadcast hint: the dimension grows with the agents seen, so Spark picks
     by its size.  Rows should be aggregated per agent before they come here.
     """
-    known = dim.select(F.col("user_agent").alias("_agent"), F.col("detail").alias("_detail"))
-    derived = describe_agent(column)
-    detail = {
-        name: F.when(F.col("_detail").isNotNull(), F.col("_detail")[name]).otherwise(derived[name])
-        for name in AGENT_FIELDS
-    }
+    known = agents.select(F.col("user_agent").alias("_agent"), F.col("detail").alias("_detail"))
+    detail = {name: F.coalesce(F.col("_detail")[name], F.lit("unknown")) for name in AGENT_FIELDS}
     joined = rows.join(known, F.col(column) == F.col("_agent"), "left")
     return joined.withColumns(detail).drop("_agent", "_detail")
 
@@ -48,15 +52,22 @@ def host_agent_sums(events: DataFrame, slice_col: Column) -> DataFrame:
 
 
 def host_agent(sums: DataFrame, dim: DataFrame) -> DataFrame:
-    """One row per host and agent: device, browser, count, average download time.
+    """One row per host and agent: device, browser, count, download time and its average.
 
-    Two agents of the same browser stay two rows.
+    Two agents of the same browser stay two rows.  The time itself is kept, so
+    rows of several batches can be put together.
     """
-    return join_agent_dim(sums, dim).select(
+    return described_sums(join_agent_dim(sums, dim))
+
+
+def described_sums(rows: DataFrame) -> DataFrame:
+    """Sums with agent details as rows of the host-agent table."""
+    return rows.select(
         "slice", "host",
         is_desktop("device_category").alias("device"),
         F.col("browser_name").alias("browser"),
         F.col("total_count").alias("count"),
+        "total_time",
         F.expr("total_time div total_count").alias("avg_time"),
     )
 

@@ -7,18 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Smallest counts kept, per period, for big hosts and for others.
-COUNT_LIMITS = {
-    "hour": {"big": 2, "other": 1},
-    "day": {"big": 20, "other": 1},
-    "week": {"big": 30, "other": 5},
-    "month": {"big": 70, "other": 5},
-    "year": {"big": 300, "other": 5},
-}
-
-# The limit of the category rollups, and of the month trend for big hosts.
-CATEGORY_LIMIT = COUNT_LIMITS["week"]["other"]
-BIG_HOST_NOISE = COUNT_LIMITS["hour"]["big"]
+# The limit of the category rollups, and of the month trend for big hosts.
+CATEGORY_LIMIT = 5
+BIG_HOST_NOISE = 2
 
 
 def in_hosts(rows: DataFrame, hosts: DataFrame) -> DataFrame:

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from clickroll.functions.slices import seconds
 
 
+SALT = 4
+"""Parts a key is dealt into; a join's state on the right side is copied as often."""
+
+
+def _salted(a: DataFrame, b: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    part = F.pmod(F.xxhash64("left_value"), F.lit(salt)).cast("int")
+    return (a.withColumn("salt", part),
+            b.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salt)]))))
+
+
 def _keyed(df: DataFrame, prefix: str, key: str, ts: str, value: str) -> DataFrame:
     return df.select(
         F.col(key).alias("key"), F.col(ts).alias(f"{prefix}_ts"), F.col(value).alias(f"{prefix}_value")
@@ -20,10 +30,15 @@ def _bucket(ts: str, width: int):
 
 
 def join_same_batch(left: DataFrame, right: DataFrame, key: str, ts: str, value: str,
-                    width: int = 20, delay: str = "0 seconds") -> DataFrame:
-    """Pairs with equal key in the same tumbling interval of ``width`` seconds."""
+                    width: int = 20, delay: str = "0 seconds", salt: int = SALT) -> DataFrame:
+    """Pairs with equal key in the same tumbling interval of ``width`` seconds.
+
+    Streams with a hot key: the left rows of a key are dealt over ``salt``
+    parts by the hash of their value, and the right rows are copied into each.
+    """
     a = _watermarked(_keyed(left, "left", key, ts, value), "left_ts", delay)
     b = _watermarked(_keyed(right, "right", key, ts, value), "right_ts", delay)
+    a, b = _salted(a, b, salt)
     a = a.withColumn("slot", _bucket("left_ts", width))
     b = b.withColumn("slot", _bucket("right_ts", width))
     near = (F.col("right_ts") > F.col("left_ts") - seconds(width)) & (
@@ -32,7 +47,7 @@ def join_same_batch(left: DataFrame, right: DataFrame, key: str, ts: str, value:
     # the range adds nothing to the slot but lets a stream drop old state
     return (
         a.alias("a").join(b.alias("b"),
-                          (F.col("a.key") == F.col("b.key"))
+                          (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt"))
                           & (F.col("a.slot") == F.col("b.slot")) & near)
         .select(F.col("a.key").alias("key"), "left_value", "right_value", "left_ts", "right_ts")
     )
@@ -44,20 +59,21 @@ def _watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
 
 def join_windowed(left: DataFrame, right: DataFrame, key: str, ts: str, value: str,
                   left_secs: int = 20, right_secs: int = 60,
-                  delay: str = "0 seconds") -> DataFrame:
+                  delay: str = "0 seconds", salt: int = SALT) -> DataFrame:
     """Pairs with equal key where the right event is less than ``right_secs``
     before and less than ``left_secs`` after the left one; each pair once.
 
     The join also keys on time buckets as wide as both windows together, with
     the left side copied into the one or two buckets its range touches.  A hot
     key is thereby spread over its buckets, and only events of near buckets are
-    compared.
+    compared.  Within a bucket it is dealt over ``salt`` parts, as above.
     """
     width = left_secs + right_secs
     a = _watermarked(_keyed(left, "left", key, ts, value), "left_ts", delay)
     b = _watermarked(_keyed(right, "right", key, ts, value), "right_ts", delay)
     from_ = F.floor((F.unix_seconds("left_ts") - right_secs) / F.lit(width)).cast("bigint")
     to = F.floor((F.unix_seconds("left_ts") + left_secs + 1) / F.lit(width)).cast("bigint")
+    a, b = _salted(a, b, salt)
     a = a.withColumn("slot", F.explode(F.sequence(from_, to)))
     b = b.withColumn("slot", _bucket("right_ts", width))
     near = (F.col("right_ts") > F.col("left_ts") - seconds(right_secs)) & (
@@ -65,7 +81,7 @@ def join_windowed(left: DataFrame, right: DataFrame, key: str, ts: str, value: s
     )
     return (
         a.alias("a").join(b.alias("b"),
-                          (F.col("a.key") == F.col("b.key"))
+                          (F.col("a.key") == F.col("b.key")) & (F.col("a.salt") == F.col("b.salt"))
                           & (F.col("a.slot") == F.col("b.slot")) & near)
         .select(F.col("a.key").alias("key"), "left_value", "right_value", "left_ts", "right_ts")
     )

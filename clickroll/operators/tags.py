@@ -9,13 +9,9 @@ from clickroll.functions.clean import clean_tags
 from clickroll.functions.hashing import java_string_hash
 from clickroll.functions.slices import slice_start
 from clickroll.schemas import TAG_ATTRS
-from clickroll.session import stored
 
-LIST_LIMIT = 50_000
-"""Articles in one stored list.  A longer list is stored as several rows."""
-
-BROADCAST_ROWS = 50_000
-"""Most rows of the table of long lists that are sent to every task (some MB)."""
+PARTS = 64
+"""Rows of a tag in the nested form: articles are dealt into them by hash, at every size."""
 
 _GROUP = ["slice", "host", "tag"]
 
@@ -56,53 +52,44 @@ def _merge_long(rows: DataFrame, slice_col: Column, attrs: list[str]) -> DataFra
     )
 
 
-def _long_lists(long: DataFrame, limit: int) -> DataFrame | None:
-    """Tags with more than ``limit`` articles and the parts they need, if any.
-
-    As a rule there are none, and the table is then left out of the plan.  A few
-    are broadcast, by their counted number; more are joined by a shuffle, where
-    AQE splits the hot ones.
-    """
-    wide = stored(
+def tag_totals(long: DataFrame) -> DataFrame:
+    """Clicks and articles per slice, host and tag, with the attributes of the earliest click."""
+    attrs = _present(long)
+    return (
         long.groupBy(*_GROUP)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(*[F.col(k).alias(f"_{k}") for k in _GROUP],
-                F.ceil(F.col("_n") / F.lit(limit)).alias("_parts")),
-        "long-lists",
+        .agg(
+            F.sum("count").alias("count"),
+            F.count(F.lit(1)).alias("articles"),
+            F.min(F.struct("first_ts", *attrs)).alias("_first"),
+        )
+        .select(*_GROUP, "count", "articles", java_string_hash("tag").alias("c_tag"), "_first.*")
+        .withColumns(
+            {"cat_id_hash": F.coalesce("cat_id_hash", F.lit(0).cast("bigint"))}
+            if "cat_id_hash" in attrs else {}
+        )
     )
-    found = wide.count()
-    if not found:
-        return None
-    return F.broadcast(wide) if found <= BROADCAST_ROWS else wide
 
 
-def nest_articles(long: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """Long form to one row per tag with the list of (article_id, count).
+def nest_articles(long: DataFrame, parts: int = PARTS) -> DataFrame:
+    """Long form to lists of (article_id, count), for readers that want them.
 
-    A tag with more than ``limit`` articles is stored as parts, split by
-    article, so no task builds an unbounded list; ``part`` is 0 for all others.
-    Counts are those of the part, so they add up to the tag's total.
-
-    ``long`` is read twice, so hand in a stored table (``clickroll.session.stored``).
+    A tag has up to ``parts`` rows; ``part`` is the hash of the articles it
+    lists and belongs to the key.  ``count`` is that of the part, ``total`` that of the tag.
     """
     attrs = _present(long)
-    part = F.lit(0)
-    wide = _long_lists(long, limit)
-    if wide is not None:
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GROUP]
-        long = long.join(wide, same, "left")
-        part = F.coalesce(F.pmod(F.xxhash64("article_id"), F.col("_parts")), part)
-    parted = long.withColumn("part", part.cast("int"))
-    keys = [*_GROUP, "part"]
+    part = F.pmod(F.xxhash64("article_id"), F.lit(parts)).cast("int")
+    listed = long.groupBy(*_GROUP, part.alias("part")).agg(
+        F.sum("count").alias("count"),
+        F.sort_array(F.collect_list(F.struct("article_id", "count"))).alias("articles"),
+        F.min(F.struct("first_ts", *attrs)).alias("_part_first"),
+    )
+    # at most ``parts`` rows a tag from here on
+    totals = listed.groupBy(*[F.col(k).alias(f"_{k}") for k in _GROUP]).agg(
+        F.sum("count").alias("total"), F.min("_part_first").alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GROUP]
     return (
-        parted.groupBy(*keys)
-        .agg(
-            F.sum("count").alias("count"),
-            F.sort_array(F.collect_list(F.struct("article_id", "count"))).alias("articles"),
-            F.min(F.struct("first_ts", *attrs)).alias("_first"),
-        )
-        .select(*keys, "count", "articles", java_string_hash("tag").alias("c_tag"), "_first.*")
+        listed.join(totals, same)
+        .select(*_GROUP, "part", "count", "total", "articles", java_string_hash("tag").alias("c_tag"), "_first.*")
         .withColumns(
             {"cat_id_hash": F.coalesce("cat_id_hash", F.lit(0).cast("bigint"))}
             if "cat_id_hash" in attrs else {}

@@ -164,6 +164,22 @@ def totals(keys: str, sets: str, sums: list[str], source: str, totalled: list[st
     )
 
 
+@query(
+    "agg_clicks_by_cat_hourly",
+    duck(
+        totals("slice, host", "ROLLUP(cat)", ["count"], "listed", ["cat"]),
+        f"rows_ AS ({duck_articles(HOUR)})",
+        """listed AS (SELECT * FROM rows_ WHERE "count" >= 1
+           AND host IN ('click', 'view', 'purchase', 'signup'))""",
+    ),
+)
+def agg_clicks_by_cat_hourly(spark, sf_dir):
+    # at the hour, as the job runs it, with a limit that these tables reach
+    rows = articles.article_hourly(articles.article_5min(clicks(spark, sf_dir)))
+    out = grouping.clicks_by_cat(rows, hosts(spark, sf_dir), 1)
+    return out.withColumn("slice", epoch_seconds("slice"))
+
+
 @query(
     "agg_clicks_by_cat",
     duck(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickroll.functions.hashing import java_string_hash
 from clickroll.functions.maps import map_to_list, merge_count_maps
 from clickroll.operators import dashboard, devices, grouping, tags
 from clickroll.plans.article_queries import HOUR, MIN5, totals
@@ -35,63 +36,85 @@ def duck_tags(start: str) -> str:
     cat, cat_ids, coalesce(cat_id_hash, 0) AS cat_id_hash FROM clicks),
 per_article AS (SELECT slice, host, tag, article_id, count(*) AS n FROM long GROUP BY ALL),
 lists AS (SELECT slice, host, tag, CAST(sum(n) AS BIGINT) AS "count",
-    string_agg(article_id || ':' || n, ',' ORDER BY article_id) AS articles FROM per_article GROUP BY 1, 2, 3),
+    count(*) AS n FROM per_article GROUP BY 1, 2, 3),
 firsts AS (SELECT slice, host, tag, arg_min({{'cat': cat, 'cat_ids': cat_ids, 'h': cat_id_hash}}, (ts, event_id)) AS f
     FROM long GROUP BY 1, 2, 3)"""
 
 
-_TAG_OUT = f"""SELECT l.slice, l.host, l.tag, l."count", l.articles, {duck_hash('l.tag')} AS c_tag, f.cat AS cat,
-array_to_string(list_sort(f.cat_ids), ',') AS cat_ids, f.h AS cat_id_hash
-FROM lists l JOIN firsts USING (slice, host, tag)"""
+# One row per article of a tag, as the tables hold it.
+_TAG_OUT = f"""SELECT slice, host, tag, article_id, count(*) AS "count", {duck_hash('tag')} AS c_tag,
+arg_min({{'c': cat}}, (ts, event_id)).c AS cat,
+array_to_string(list_sort(arg_min({{'c': cat_ids}}, (ts, event_id)).c), ',') AS cat_ids,
+arg_min({{'h': cat_id_hash}}, (ts, event_id)).h AS cat_id_hash FROM long GROUP BY slice, host, tag, article_id"""
 
 
 def _shown_tags(rows: DataFrame) -> DataFrame:
-    pairs = F.transform("articles", lambda a: F.concat(a["article_id"], F.lit(":"), a["count"]))
     return rows.select(
-        epoch_seconds("slice").alias("slice"), "host", "tag", "count",
-        F.array_join(pairs, ",").alias("articles"), "c_tag", "cat",
-        join_list("cat_ids").alias("cat_ids"), "cat_id_hash",
+        epoch_seconds("slice").alias("slice"), "host", "tag", "article_id", "count", java_string_hash("tag").alias("c_tag"),
+        "cat", join_list("cat_ids").alias("cat_ids"), F.coalesce("cat_id_hash", F.lit(0).cast("bigint")).alias("cat_id_hash"),
     )
 
 
+def _hourly_tags(spark, sf_dir) -> DataFrame:
+    return tags.tag_article_hourly(tags.tag_article_5min(clicks(spark, sf_dir)))
+
+
 @query("agg_tag_5min", duck(_TAG_OUT, duck_tags(MIN5)))
 def agg_tag_5min(spark, sf_dir):
-    long = stored(tags.tag_article_5min(clicks(spark, sf_dir)), "tags-5min")
-    return _shown_tags(tags.nest_articles(long))
+    return _shown_tags(tags.tag_article_5min(clicks(spark, sf_dir)))
 
 
 @query("agg_tag_hourly", duck(_TAG_OUT, duck_tags(HOUR)))
 def agg_tag_hourly(spark, sf_dir):
-    long = stored(
-        tags.tag_article_hourly(tags.tag_article_5min(clicks(spark, sf_dir))), "tags-hour"
-    )
-    return _shown_tags(tags.nest_articles(long))
+    return _shown_tags(_hourly_tags(spark, sf_dir))
+
+
+@query(
+    "agg_tag_totals",
+    duck(f"""SELECT l.slice, l.host, l.tag, l."count", l.n AS articles, {duck_hash('l.tag')} AS c_tag, f.cat AS cat,
+array_to_string(list_sort(f.cat_ids), ',') AS cat_ids, f.h AS cat_id_hash
+FROM lists l JOIN firsts USING (slice, host, tag)""", duck_tags(HOUR)),
+)
+def agg_tag_totals(spark, sf_dir):
+    rows = tags.tag_totals(_hourly_tags(spark, sf_dir))
+    return rows.withColumns({"slice": epoch_seconds("slice"), "cat_ids": join_list("cat_ids")}).drop("first_ts")
+
+
+@query(
+    "nest_tag_articles",
+    duck("""SELECT slice, host, tag, article_id, per_article.n AS "count", l."count" AS total
+FROM per_article JOIN lists l USING (slice, host, tag)""", duck_tags(HOUR)),
+)
+def nest_tag_articles(spark, sf_dir):
+    # lists in fixed parts, each with the total of its tag, taken apart again
+    nested = tags.nest_articles(_hourly_tags(spark, sf_dir))
+    rows = nested.select("slice", "host", "tag", "total", F.inline("articles"))
+    return rows.withColumn("slice", epoch_seconds("slice"))
 
 
 @query(
     "merge_article_counts",
-    duck(
-        """SELECT host, tag, string_agg(article_id || ':' || n, ',' ORDER BY article_id) AS articles
-FROM per_article GROUP BY 1, 2""",
+    duck('SELECT host, tag, article_id, n AS "count" FROM per_article',
         """per_article AS (SELECT host, tag, article_id, count(*) AS n
 FROM (SELECT host, unnest(ctags) AS tag, article_id FROM clicks) GROUP BY ALL)""",
     ),
 )
 def merge_article_counts(spark, sf_dir):
-    # the maps of two halves of a tag's clicks, merged row by row
+    # the maps of two halves of a tag's clicks, merged row by row; a map holds the
+    # articles of one hash part, so no group gathers all articles of a tag
     exploded = tags.explode_tags(clicks(spark, sf_dir).select("host", "article_id", "tags", "event_id"))
     counted = exploded.groupBy("host", "tag", "article_id").agg(
         F.count_if(F.col("event_id") % 2 == 0).alias("even"),
         F.count_if(F.col("event_id") % 2 == 1).alias("odd"),
     )
     entry = lambda n: F.when(F.col(n) > 0, F.struct("article_id", n))
-    maps = counted.groupBy("host", "tag").agg(
+    part = F.pmod(F.xxhash64("article_id"), F.lit(tags.PARTS)).alias("part")
+    maps = counted.groupBy("host", "tag", part).agg(
         F.map_from_entries(F.collect_list(entry("even"))).alias("even"),
         F.map_from_entries(F.collect_list(entry("odd"))).alias("odd"),
     )
     merged = map_to_list(merge_count_maps(F.col("even"), F.col("odd")))
-    pairs = F.transform(merged, lambda a: F.concat(a["article_id"], F.lit(":"), a["count"]))
-    return maps.select("host", "tag", F.array_join(pairs, ",").alias("articles"))
+    return maps.select("host", "tag", F.inline(merged))
 
 
 # --- dashboard ---------------------------------------------------------
@@ -120,15 +143,14 @@ CAST(sum(dnld_time) AS BIGINT) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).
 
 def counter(spark, sf_dir, output: str) -> DataFrame:
     """Counter table built from three batches, one of them delivered twice."""
-    from clickroll.streaming.jobs import counter_table
+    from clickroll.streaming.jobs import read_counter, write_counter
 
-    counts, _ = dashboard.COUNTERS[output]
-    target = counter_table(work_dir(spark, "dashboard"), output)
+    path = work_dir(spark, "dashboard")
     source = clicks(spark, sf_dir)
     for batch in (0, 1, 1, 2):
         part = source.where(F.col("event_id") % 3 == batch)
-        target.upsert(counts(dashboard.dashboard_keys(part)), batch)
-    return target.read(spark).withColumn("slice", epoch_seconds("slice"))
+        write_counter(dashboard.dashboard_counts(part), path, output, batch)
+    return read_counter(spark, path, output).withColumn("slice", epoch_seconds("slice"))
 
 
 @query("upsert_referer", duck(duck_counter("referer")))
@@ -148,7 +170,7 @@ def upsert_location(spark, sf_dir):
 
 def _by_cat(spark, sf_dir, output, rollup) -> DataFrame:
     counts, _ = dashboard.COUNTERS[output]
-    rows = rollup(counts(dashboard.dashboard_keys(clicks(spark, sf_dir))))
+    rows = rollup(counts(dashboard.dashboard_counts(clicks(spark, sf_dir))))
     return rows.withColumn("slice", epoch_seconds("slice"))
 
 
@@ -266,7 +288,7 @@ def _host_agent(source: DataFrame) -> DataFrame:
 @query(
     "agg_host_agent",
     duck(
-        f"""SELECT slice, host, {_DESKTOP} AS device, browser_name AS browser, n AS "count", t // n AS avg_time FROM (
+        f"""SELECT slice, host, {_DESKTOP} AS device, browser_name AS browser, n AS "count", t AS total_time, t // n AS avg_time FROM (
 SELECT {HOUR} AS slice, host, user_group, count(*) AS n, CAST(sum(dnld_time) AS BIGINT) AS t
 FROM agents GROUP BY 1, 2, 3) JOIN detail USING (user_group)""",
         _duck_facts(), _DUCK_DETAIL,

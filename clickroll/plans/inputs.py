@@ -134,9 +134,9 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
-    """A table's file as a stream."""
-    reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(sf_dir)
+    """A table as a stream, be it one file or a folder of files."""
+    # streams take a single file only by a pattern
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 BAD_MESSAGE = 7
@@ -157,7 +157,7 @@ def as_messages(events: DataFrame) -> DataFrame:
             F.col("article_id").alias("articleId"), "host", "cat", app.alias("isAPP"),
             F.expr("CASE WHEN event_id % 5 = 0 THEN NULL ELSE content_type END").alias("contentType"),
             F.expr("CASE WHEN is_group THEN 'TRUE' ELSE 'no' END").alias("isGroup"),
-            "url", F.col("cat_id_hash").alias("catIdHash"),
+            F.expr("CASE WHEN event_id % 13 = 0 THEN NULL ELSE url END").alias("url"), F.col("cat_id_hash").alias("catIdHash"),
             F.expr("CASE WHEN event_id % 6 = 0 THEN '1.4E9' ELSE CAST(publish_time AS STRING) END")
             .alias("publishTime"),
             F.expr("nullif(author, '')").alias("author"), "channel",
@@ -188,7 +188,8 @@ DUCK_RAW = f"""raw AS (
 SELECT event_id, epoch_s, article_id AS "articleId", host, cat,
   CASE event_id % 4 WHEN 0 THEN concat(is_app, '.0') WHEN 1 THEN 'x' ELSE CAST(is_app AS VARCHAR) END AS "isAPP",
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(content_type AS VARCHAR) END AS "contentType",
-  CASE WHEN is_group THEN 'TRUE' ELSE 'no' END AS "isGroup", url, CAST(cat_id_hash AS VARCHAR) AS "catIdHash",
+  CASE WHEN is_group THEN 'TRUE' ELSE 'no' END AS "isGroup",
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE url END AS url, CAST(cat_id_hash AS VARCHAR) AS "catIdHash",
   CASE WHEN event_id % 6 = 0 THEN '1.4E9' ELSE CAST(publish_time AS VARCHAR) END AS "publishTime",
   nullif(author, '') AS author, channel, tags, ctags, referer, agent_type, dnld_time,
   CASE WHEN event_id % 3 = 0 THEN '2.0' END AS "count", CAST(dnld_time % 100 AS INT) AS access

@@ -3,21 +3,23 @@
 ```
 messages -> article_5min -> article_hourly -> article_daily -> article_month, article_week
          |                        \\-> clicks_by_cat
-         |-> tag_5min -> tag_hourly
+         |-> tag_5min -> tag_hourly -> tag_totals
          |-> referer, response, location -> ..._by_cat
          \\-> host_agent, host_device, agents
 ```
 
 Streams keep their own checkpoints.  The batch jobs take the slice they run for
-and replace its partitions, so any of them can be run again.  Slices are named
-by their start.
+and replace its folder, also where there is nothing to write, so any of them can be
+run again.  Slices are named by their start.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +28,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.operators import articles, dashboard, devices, grouping, tags
 from clickroll.operators.filters import in_hosts, instant, min_count, time_range
+from clickroll.functions.clean import is_error_doc
 from clickroll.functions.slices import slice_start
 from clickroll.plans.article_queries import trend_table
 from clickroll.schemas import AGENT_DIM
-from clickroll.session import stored
-from clickroll.sinks import append, ledgers
+from clickroll.sinks import append, files, ledgers
 from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
+from clickroll.sources import offsets
 from clickroll.streaming import jobs as streams
 
 log = logging.getLogger(__name__)
@@ -45,16 +48,24 @@ TAGS = "slice timestamp, host string, tag string, article_id string, count bigin
     "first_ts timestamp, cat string, cat_ids array<string>, cat_id_hash bigint"
 
 
+OFFSETS = "topic string, partition int, from_offset bigint, until_offset bigint, description string"
+
+
 def _schema(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Where the tables lie, and the host list they are filtered by."""
+    """Where the tables lie, the host list they are filtered by, and their time zone.
+
+    Days and hours, of slices as of folders, are those of the zone; the hours and days that
+    jobs are called with are wall-clock times of it.
+    """
 
     root: str
     hosts: DataFrame
+    tz: str = "UTC"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -62,12 +73,19 @@ class Tables:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
-    def days(self, spark: SparkSession, name: str, ddl: str, start: datetime, end: datetime) -> DataFrame:
-        """Rows of ``[start, end)``, from the day folders they can lie in."""
-        count = ((end - timedelta(microseconds=1)).date() - start.date()).days
-        days = [(start + timedelta(days=d)).strftime("%Y%m%d") for d in range(count + 1)]
-        rows = append.read_days(spark, self.path(name), days, _schema(ddl))
-        return time_range(rows, "slice", start, end, "[)")
+    @property
+    def zone(self) -> str | None:
+        return None if self.tz == "UTC" else self.tz
+
+    def utc(self, wall: datetime) -> datetime:
+        """A wall-clock time as UTC, without zone."""
+        return wall.replace(tzinfo=ZoneInfo(self.tz)).astimezone(timezone.utc).replace(tzinfo=None)
+
+    def hours(self, spark: SparkSession, name: str, ddl: str, start: datetime, count: int = 1) -> DataFrame:
+        """Rows of ``count`` hours from ``start`` on, from the folders of these hours."""
+        starts = [start + timedelta(hours=h) for h in range(count)]
+        rows = append.read_slices(spark, self.path(name), starts, _schema(ddl), hourly=True)
+        return time_range(rows, "slice", self.utc(start), self.utc(start + timedelta(hours=count)), "[)")
 
 
 def _start(stream: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -79,17 +97,49 @@ def _start(stream: DataFrame, write, checkpoint: str, trigger: dict | None) -> S
     )
 
 
-def _quarantine(parsed: DataFrame, seen: Observation, path: str, batch_id: int) -> None:
-    # the messages are read again only if the pass before met a bad one
-    if seen.get["bad"]:
-        append.write_batch(messages.quarantined_clicks(parsed), path, batch_id)
-
-
 def _clicks(batch: DataFrame) -> DataFrame:
     return messages.normalise_clicks(messages.good_clicks(messages.parse_clicks(batch)))
 
 
+def _watched(batch: DataFrame, batch_id: int, job: str, tables: Tables, keys: list[str],
+             write: Callable[[DataFrame], None]) -> None:
+    """Hand the good messages of a batch to ``write``; count the others and put them aside.
+
+    Error documents lack one of ``keys``; they are counted and kept.  The messages
+    are read again only if the pass before met a bad one.
+    """
+    seen = Observation()
+    parsed = messages.parse_clicks(batch)
+    bad = messages.is_bad(parsed)
+    watched = parsed.observe(
+        seen,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(bad).alias("bad"),
+        F.count_if(~bad & is_error_doc(*keys, empty_too=True)).alias("error_docs"),
+    )
+    write(messages.good_clicks(watched))
+    log.info("%s, batch %s: %s", job, batch_id, seen.get)
+    if seen.get["bad"]:
+        append.write_batch(messages.quarantined_clicks(parsed), tables.path(f"quarantine/{job}"), batch_id,
+                           append.run_of(batch))
+
+
 # --- streams -----------------------------------------------------------
+def resume_from(spark: SparkSession, tables: Tables, topic: str) -> str:
+    """Where a stream on a new checkpoint starts: behind what the ledger of the articles has."""
+    if not files.exists(spark, tables.path("offsets")):
+        return "earliest"
+    noted = append.read_batches(spark, tables.path("offsets"), _schema(OFFSETS))
+    # offsets of a partition only grow, so they are their own order
+    return offsets.resume_offsets(noted.withColumn("committed_at", F.col("until_offset")), topic)
+
+
+def kafka_source(spark: SparkSession, tables: Tables, options: dict[str, str]) -> DataFrame:
+    """Messages of the topic in ``options["subscribe"]``, resumed from the ledger where no checkpoint is."""
+    start = resume_from(spark, tables, options["subscribe"])
+    return messages.read_click_stream(spark, "kafka", options, starting_offsets=start)
+
+
 def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -> StreamingQuery:
     """Messages to 5-minute article rows; bad messages go to ``quarantine``.
 
@@ -97,21 +147,15 @@ def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = Non
     batches touch has several rows, which the hourly job adds up.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        parsed = messages.parse_clicks(batch)
-        no_key = F.col("host").isNull() | F.col("articleId").isNull()
-        watched = parsed.observe(
-            seen,
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(messages.is_bad(parsed)).alias("bad"),
-            F.count_if(~messages.is_bad(parsed) & no_key).alias("error_docs"),
-        )
-        clicks = messages.normalise_clicks(messages.good_clicks(watched))
-        append.write_batch(articles.article_5min(clicks), tables.path("article_5min"), batch_id, "slice")
-        log.info("batch %s: %s", batch_id, seen.get)
-        _quarantine(parsed, seen, tables.path("quarantine"), batch_id)
+        run = append.run_of(batch)
+
+        def add(good: DataFrame) -> None:
+            rows = articles.article_5min(messages.normalise_clicks(good), tables.zone)
+            append.write_batch(rows, tables.path("article_5min"), batch_id, run, "slice", tables.zone)
+
+        _watched(batch, batch_id, "article", tables, ["host", "articleId"], add)
         if "offset" in batch.columns:
-            append.write_batch(ledgers.offset_ranges(batch), tables.path("offsets"), batch_id)
+            append.write_batch(ledgers.offset_ranges(batch), tables.path("offsets"), batch_id, run)
 
     return _start(source, write, tables.checkpoint("article"), trigger)
 
@@ -119,7 +163,11 @@ def article_stream(source: DataFrame, tables: Tables, trigger: dict | None = Non
 def tag_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -> StreamingQuery:
     """Messages to 5-minute tag rows, in long form."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        append.write_batch(tags.tag_article_5min(_clicks(batch)), tables.path("tag_5min"), batch_id, "slice")
+        def add(good: DataFrame) -> None:
+            rows = tags.tag_article_5min(messages.normalise_clicks(good), tables.zone)
+            append.write_batch(rows, tables.path("tag_5min"), batch_id, append.run_of(batch), "slice", tables.zone)
+
+        _watched(batch, batch_id, "tag", tables, ["host", "articleId"], add)
 
     return _start(source, write, tables.checkpoint("tag"), trigger)
 
@@ -127,9 +175,20 @@ def tag_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -
 def dashboard_stream(source: DataFrame, tables: Tables, outputs: list[int] | None = None,
                      trigger: dict | None = None) -> StreamingQuery:
     """Messages to the referer, response and location counters."""
-    return streams.dashboard_stream(
-        _clicks(source), tables.root, tables.checkpoint("dashboard"), outputs or list(dashboard.OUTPUTS), trigger
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        def add(good: DataFrame) -> None:
+            keyed = dashboard.dashboard_counts(messages.normalise_clicks(good), tables.zone).persist()
+            try:
+                for code in outputs or list(dashboard.OUTPUTS):
+                    streams.write_counter(keyed, tables.root, dashboard.OUTPUTS[code], batch_id,
+                                          append.run_of(batch), tables.zone)
+            finally:
+                keyed.unpersist()
+
+        keys = ["geoLocation", "host", "isIndia", "referer", "group", "articleId"]
+        _watched(batch, batch_id, "dashboard", tables, keys, add)
+
+    return _start(source, write, tables.checkpoint("dashboard"), trigger)
 
 
 def device_table(tables: Tables) -> UpsertTable:
@@ -142,74 +201,89 @@ def agent_table(tables: Tables) -> UpsertTable:
     return UpsertTable(tables.path("agents"), ["user_agent"], [], ["detail"])
 
 
-def read_agents(spark: SparkSession, tables: Tables, before: int | None = None) -> DataFrame:
+def read_agents(spark: SparkSession, tables: Tables, before: int | None = None, run: str = "0") -> DataFrame:
     """The agent dimension, or what it was before a micro-batch."""
-    return agent_table(tables).read(spark, before, AGENT_DIM)
+    return agent_table(tables).read(spark, before, AGENT_DIM, run)
 
 
 def device_stream(source: DataFrame, tables: Tables, trigger: dict | None = None) -> StreamingQuery:
     """Messages to rows per host and agent, device counters and new agents."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        events = messages.normalise_agent_events(messages.good_clicks(messages.parse_clicks(batch)))
-        sums = devices.host_agent_sums(events, slice_start("hour", "ts")).persist()
-        try:
-            dim = read_agents(spark, tables, batch_id)
-            agent_table(tables).upsert(devices.new_agents(sums, dim), batch_id)
-            rows = stored(devices.host_agent(sums, dim), "host-agent")
-        finally:
-            sums.unpersist()
-        append.write_batch(rows, tables.path("host_agent"), batch_id, "slice")
-        device_table(tables).upsert(devices.host_device_deltas(rows), batch_id)
+        spark, run = batch.sparkSession, append.run_of(batch)
+
+        def add(good: DataFrame) -> None:
+            events = messages.normalise_agent_events(good)
+            sums = devices.host_agent_sums(events, slice_start("hour", "ts", tz=tables.zone)).persist()
+            dim = read_agents(spark, tables, batch_id, run)
+            fresh = devices.new_agents(sums, dim).persist()
+            rows = devices.described_sums(devices.with_details(sums, dim.unionByName(fresh))).persist()
+            try:
+                agent_table(tables).upsert(fresh, batch_id, run)
+                append.write_batch(rows, tables.path("host_agent"), batch_id, run, "slice", tables.zone)
+                device_table(tables).upsert(devices.host_device_deltas(rows), batch_id, run)
+            finally:
+                for df in (rows, fresh, sums):
+                    df.unpersist()
+
+        _watched(batch, batch_id, "device", tables, ["host", "agentType"], add)
 
     return _start(source, write, tables.checkpoint("device"), trigger)
 
 
 # --- batch jobs --------------------------------------------------------
+def fold(spark: SparkSession, tables: Tables, everything: bool = False, keep: int = 8) -> None:
+    """Fold the open batches of the upsert tables, to be run on a schedule.
+
+    The newest of each run stay open: a stream may write its last one again, and
+    days of the last week may be run again.
+    """
+    for table in (device_table(tables), agent_table(tables), trend_table(tables.path("article_month")),
+                  trend_table(tables.path("article_week"))):
+        table.compact(spark, everything, keep)
+
+
 def hourly_articles(spark: SparkSession, tables: Tables, hour: datetime) -> None:
     """5-minute rows of one hour, of listed hosts, merged."""
-    rows = tables.days(spark, "article_5min", ARTICLES, hour, hour + timedelta(hours=1))
-    merged = articles.article_hourly(in_hosts(rows, tables.hosts))
-    append.write_partitions(merged, tables.path("article_hourly"), hourly=True)
+    rows = tables.hours(spark, "article_5min", ARTICLES, hour)
+    merged = articles.article_hourly(in_hosts(rows, tables.hosts), tz=tables.zone)
+    append.write_slice(merged, tables.path("article_hourly"), hour, hourly=True)
 
 
 def hourly_tags(spark: SparkSession, tables: Tables, hour: datetime) -> None:
-    """5-minute tag rows of one hour, merged; kept long, and nested per tag."""
-    rows = tables.days(spark, "tag_5min", TAGS, hour, hour + timedelta(hours=1))
-    append.write_partitions(tags.tag_article_hourly(rows), tables.path("tag_hourly_long"), hourly=True)
-    long = tables.days(spark, "tag_hourly_long", TAGS, hour, hour + timedelta(hours=1))
-    append.write_partitions(tags.nest_articles(long), tables.path("tag_hourly"), hourly=True)
+    """5-minute tag rows of one hour, merged in long form, and the totals of the tags."""
+    rows = tables.hours(spark, "tag_5min", TAGS, hour)
+    append.write_slice(tags.tag_article_hourly(rows, tables.zone), tables.path("tag_hourly"), hour, hourly=True)
+    long = tables.hours(spark, "tag_hourly", TAGS, hour)
+    append.write_slice(tags.tag_totals(long), tables.path("tag_totals"), hour, hourly=True)
 
 
 def daily_articles(spark: SparkSession, tables: Tables, day: datetime, least: int = 1) -> None:
     """Hourly rows of one day merged, and added to the month and week trends.
 
     The day's number is the batch number of the trends, so a day that is run
-    again, as long as it was not folded, replaces what it added.
+    again, as long as it was not folded, replaces what it added; once folded it is an error.
     """
-    rows = tables.days(spark, "article_hourly", ARTICLES, day, day + timedelta(days=1))
-    merged = articles.article_daily(in_hosts(min_count(rows, least), tables.hosts))
-    append.write_partitions(merged, tables.path("article_daily"))
-    written = tables.days(spark, "article_daily", ARTICLES, day, day + timedelta(days=1))
+    rows = tables.hours(spark, "article_hourly", ARTICLES, day, 24)
+    merged = articles.article_daily(in_hosts(min_count(rows, least), tables.hosts), tz=tables.zone)
+    append.write_slice(merged, tables.path("article_daily"), day)
+    written = append.read_slices(spark, tables.path("article_daily"), [day], _schema(ARTICLES))
     number = (day - datetime(1970, 1, 1)).days
-    trend_table(tables.path("article_month")).upsert(articles.month_deltas(written, tables.hosts), number)
-    trend_table(tables.path("article_week")).upsert(articles.week_deltas(written), number)
+    trend_table(tables.path("article_month")).upsert(articles.month_deltas(written, tables.hosts, tables.zone), number)
+    trend_table(tables.path("article_week")).upsert(articles.week_deltas(written, tables.zone), number)
 
 
 def by_category(spark: SparkSession, tables: Tables, hour: datetime) -> None:
     """The four category rollups of one hour, and the note that they ran.
 
-    Article rows carry the start of the hour, counters its end.
+    They lie below the hour they count; counter rows carry its end.
     """
-    hourly = tables.days(spark, "article_hourly", ARTICLES, hour, hour + timedelta(hours=1))
-    append.write_partitions(
-        grouping.clicks_by_cat(hourly, tables.hosts), tables.path("clicks_by_cat"), hourly=True
+    hourly = tables.hours(spark, "article_hourly", ARTICLES, hour)
+    append.write_slice(
+        grouping.clicks_by_cat(hourly, tables.hosts), tables.path("clicks_by_cat"), hour, hourly=True
     )
-    end = hour + timedelta(hours=1)
     for output, rollup in (("location", grouping.location_by_cat), ("referer", grouping.referer_by_cat),
                            ("response", grouping.response_by_cat)):
-        counted = streams.counter_table(tables.root, output).read(spark)
-        rows = rollup(counted.where(F.col("slice") == instant(end)))
-        append.write_partitions(rows, tables.path(f"{output}_by_cat"), hourly=True)
-    stamp = F.unix_seconds(instant(hour)).alias("exec_ts")
+        counted = streams.read_counter(spark, tables.root, output, [hour])
+        append.write_slice(rollup(counted), tables.path(f"{output}_by_cat"), hour, hourly=True)
+    stamp = F.unix_seconds(instant(tables.utc(hour))).alias("exec_ts")
     ledgers.log_runs(spark.range(1).select(F.lit("by_category").alias("job"), stamp), tables.path("runs"))

@@ -11,7 +11,7 @@ from clickroll.functions.clean import clean_tags, default_referer
 from clickroll.functions.hashing import java_string_hash
 from clickroll.functions.slices import day_shard, slice_start
 from clickroll.operators import articles, dashboard, filters, tags, words
-from clickroll.plans.article_queries import HOUR, MIN5, duck_articles, shown
+from clickroll.plans.article_queries import DAY, HOUR, MIN5, daily_rows, duck_articles, shown
 from clickroll.plans.counter_queries import (
     _TAG_OUT, _shown_tags, duck_counter, duck_hash, duck_tags,
 )
@@ -20,7 +20,7 @@ from clickroll.plans.inputs import (
 )
 from clickroll.plans.registry import query
 from clickroll.schemas import epoch_seconds, to_documents
-from clickroll.session import stored, work_dir
+from clickroll.session import work_dir
 from clickroll.sinks.append import with_partition, write_partitions
 from clickroll.sources import clicks as messages
 from clickroll.sources import offsets, scans
@@ -47,6 +47,7 @@ def _interval(name: str, interval: str, seconds: int) -> None:
 
 
 _interval("src_interval_scan", "WEEK", 302400)
+_interval("src_interval_scan_minute", "MINUTE", 300)
 _interval("src_interval_scan_hour", "HOUR", 1800)
 _interval("src_interval_scan_month", "MONTH", 1296000)
 
@@ -80,8 +81,7 @@ def src_daily_articles(spark, sf_dir):
     duck(f"SELECT * FROM ({_TAG_OUT}) WHERE slice >= {NOW_S - 3600} AND slice < {NOW_S}", duck_tags(MIN5)),
 )
 def src_hourly_tags(spark, sf_dir):
-    long = stored(tags.tag_article_5min(clicks(spark, sf_dir)), "tags-5min")
-    return _shown_tags(tags.nest_articles(scans.hourly_tags(long, NOW)))
+    return _shown_tags(scans.hourly_tags(tags.tag_article_5min(clicks(spark, sf_dir)), NOW))
 
 
 @query(
@@ -103,10 +103,10 @@ def src_pushdown_scan(spark, sf_dir):
     return scans.pushdown_scan(table(spark, sf_dir, "events"), ["event_id", "user_id", "value"], wanted)
 
 
-@query("limit_scan")
+@query("limit_scan", "SELECT event_id, user_id FROM events WHERE event_type = 'click' ORDER BY event_id LIMIT 5")
 def limit_scan(spark, sf_dir):
     wanted = F.col("event_type") == "click"
-    return scans.pushdown_scan(table(spark, sf_dir, "events"), ["event_id", "user_id"], wanted, 5)
+    return scans.pushdown_scan(table(spark, sf_dir, "events"), ["event_id", "user_id"], wanted, 5, ["event_id"])
 
 
 @query(
@@ -140,9 +140,7 @@ def src_day_shard(spark, sf_dir):
     duck("SELECT access AS pg_access_5min, url FROM raw", DUCK_RAW),
 )
 def src_page_access(spark, sf_dir):
-    source = spark.read.parquet(message_folder(spark, sf_dir))
-    # messages that are no JSON have neither field
-    return messages.page_access(source).where(F.col("url").isNotNull())
+    return messages.page_access(spark.read.parquet(message_folder(spark, sf_dir)))
 
 
 # --- offsets -----------------------------------------------------------
@@ -228,6 +226,23 @@ def normalise_agent_events(spark, sf_dir):
     return messages.normalise_agent_events(messages.good_clicks(raw_clicks(spark, sf_dir))).drop("ts")
 
 
+_TIMED = """timed AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN epoch_s * 1000
+WHEN 1 THEN epoch_s * 1000 WHEN 4 THEN NULL ELSE 1441953000000 END AS epoch_ms FROM clicks)"""
+
+
+@query("parse_click_time", duck("SELECT event_id, epoch_ms FROM timed WHERE epoch_ms IS NOT NULL", _TIMED))
+def parse_click_time(spark, sf_dir):
+    # times as text and as milliseconds; none and junk, where the source's time counts; no time of
+    # any kind goes to quarantine
+    when = F.expr("""CASE event_id % 5 WHEN 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss')
+        WHEN 1 THEN CAST(unix_seconds(ts) * 1000 AS STRING) WHEN 2 THEN NULL ELSE 'no time' END""")
+    body = F.to_json(F.struct("event_id", when.alias("ts")))
+    source = F.when(F.col("event_id") % 5 != 4, F.timestamp_seconds(F.lit(1441953000)))
+    sent = clicks(spark, sf_dir).select(body.alias("value"), source.alias("timestamp"))
+    good = messages.good_clicks(messages.parse_clicks(sent))
+    return good.select("event_id", F.unix_millis("ts").alias("epoch_ms"))
+
+
 @query("clean_tags", duck("SELECT event_id, array_to_string(ctags, ',') AS tags FROM clicks"))
 def clean_tags_query(spark, sf_dir):
     return clicks(spark, sf_dir).select("event_id", join_list(clean_tags("tags")).alias("tags"))
@@ -241,14 +256,36 @@ def default_referer_query(spark, sf_dir):
     return clicks(spark, sf_dir).select("event_id", default_referer("referer").alias("referer"))
 
 
+# Keys whose lack makes an error document, per job, as columns of the clicks view.
+ERROR_KEYS = {
+    "dashboard": ["geo_location", "host", "is_india", "referer", "grp", "article_id"],
+    "article": ["host", "article_id"],
+    "device": ["host", "agent_type"],
+}
+
+
+def _holes(text: str) -> list[str]:
+    """Each key with rows that lack it and rows where it is empty."""
+    keys = ["geo_location", "host", "is_india", "referer", "grp", "article_id", "agent_type"]
+    return [f"CASE event_id % {17 + 2 * i} WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CAST({k} AS {text}) END AS {k}"
+            for i, k in enumerate(keys)]
+
+
 @query(
     "flag_error_docs",
-    duck("""SELECT host, coalesce(referer, '') = '' AS is_error_doc, count(*) AS "count" FROM clicks GROUP BY 1, 2"""),
+    duck(" UNION ALL ".join(
+        f"SELECT '{job}' AS job, event_id, " + " OR ".join(f"coalesce({k}, '') = ''" for k in keys) + " AS is_error_doc FROM holes"
+        for job, keys in ERROR_KEYS.items()),
+        f"holes AS (SELECT event_id, {', '.join(_holes('VARCHAR'))} FROM clicks)"),
 )
 def flag_error_docs(spark, sf_dir):
-    keys = ["geo_location", "host", "is_india", "referer", "grp", "article_id"]
-    rows = messages.flag_error_docs(clicks(spark, sf_dir), keys, empty_too=True)
-    return rows.groupBy("host", "is_error_doc").agg(F.count(F.lit(1)).alias("count"))
+    rows = clicks(spark, sf_dir).selectExpr("event_id", *_holes("STRING"))
+    out = None
+    for job, keys in ERROR_KEYS.items():
+        flagged = messages.flag_error_docs(rows, keys, empty_too=True).select(
+            F.lit(job).alias("job"), "event_id", "is_error_doc")
+        out = flagged if out is None else out.unionByName(flagged)
+    return out
 
 
 @query(
@@ -339,13 +376,40 @@ def partition_by_octet(spark, sf_dir):
     return with_partition(rows, "ip", 5)
 
 
-@query(
-    "to_documents",
-    duck("""SELECT epoch_ms(make_timestamp((epoch_s - epoch_s % 300) * 1000000)) AS "timeStamp", article_id AS "articleId",
-host, is_app AS "isAPP", count(*) AS "count" FROM clicks GROUP BY 1, 2, 3, 4"""),
-)
+_DOC_NAMES = """article_id AS "articleId", host, is_app AS "isAPP", "count", tags, content_type AS "contentType", cat,
+subcat, url, publish_time AS "publishTime", author, channel, cat_ids AS "catIds", is_group AS "isGroup",
+cat_id_hash AS "catIdHash\""""
+
+
+def _documents(start: str, stamp: str, name: str) -> str:
+    return f'SELECT {stamp} AS "{name}", {_DOC_NAMES} FROM ({duck_articles(start)})'
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: join_list(c) for c in ("tags", "subcat", "catIds")})
+
+
+@query("to_documents", duck(_documents(MIN5, "slice * 1000", "timeStamp")))
 def documents(spark, sf_dir):
-    rows = articles.article_5min(clicks(spark, sf_dir))
-    return to_documents(rows, unit="ms").select("timeStamp", "articleId", "host", "isAPP", "count")
+    return _flat(to_documents(articles.article_5min(clicks(spark, sf_dir)), unit="ms"))
+
 
+@query("to_documents_hour", duck(_documents(HOUR, "slice", "timeStamp")))
+def documents_hour(spark, sf_dir):
+    hourly = articles.article_hourly(articles.article_5min(clicks(spark, sf_dir)))
+    return _flat(to_documents(hourly))
 
+
+@query("to_documents_day", duck(_documents(DAY, "slice", "ts")))
+def documents_day(spark, sf_dir):
+    return _flat(to_documents(daily_rows(spark, sf_dir), time_name="ts"))
+
+
+@query(
+    "to_documents_counter",
+    duck(f"""SELECT slice * 1000 AS "timeStamp", article_id AS "articleId", host, referer, "count", tot_tm AS "totTm", cat,
+strftime(make_timestamp(slice * 1000000), '%Y-%m-%d %H:%M:%S') AS tsd FROM ({duck_counter('referer')})"""),
+)
+def documents_counter(spark, sf_dir):
+    rows = dashboard.referer_counts(dashboard.dashboard_counts(clicks(spark, sf_dir)))
+    return to_documents(rows, unit="ms", date_name="tsd").withColumn("tsd", F.date_format("tsd", "yyyy-MM-dd HH:mm:ss"))

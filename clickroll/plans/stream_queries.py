@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from contextlib import nullcontext
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickroll.operators import articles, dashboard, devices, joins, words
 from clickroll.plans.article_queries import (
@@ -18,7 +19,7 @@ from clickroll.plans.inputs import (
 )
 from clickroll.plans.registry import query
 from clickroll.schemas import ARTICLE_KEYS, OFFSET_RANGE, epoch_seconds
-from clickroll.session import partitions_for, stored, work_dir
+from clickroll.session import state_partitions, stored, work_dir
 from clickroll.sinks import append, ledgers
 from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
@@ -30,27 +31,27 @@ def _epoch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slice", epoch_seconds("slice"))
 
 
-def run_appended(stream: DataFrame, label: str, transform=None, schema=None,
-                 source: str | None = None) -> DataFrame:
-    """Append a stream to a table until its input is used up; the table.
+def _state(spark) -> int:
+    """State partitions of the streams here: one per core."""
+    return spark.sparkContext.defaultParallelism
 
-    ``source`` is the input file of a stream that keeps state.
-    """
+
+def run_appended(stream: DataFrame, label: str, transform=None, schema=None) -> DataFrame:
+    """Append a stream to a table until its input is used up; the table."""
     spark = stream.sparkSession
     base = work_dir(spark, label)
-    with partitions_for(spark, source) if source else nullcontext():
+    with state_partitions(spark, _state(spark)):
         query_ = append.append_stream(stream, f"{base}/table", f"{base}/checkpoint", transform)
-        query_.awaitTermination()
+    query_.awaitTermination()
     out = append.read_batches(spark, f"{base}/table", schema or stream.schema)
-    return out.drop("batch_id")
+    return out.drop("batch_id", "run")
 
 
-def run_latest(rows: DataFrame, label: str, keys: list[str], source: str) -> DataFrame:
+def run_latest(rows: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """Run a stateful stream to its end; the last version of each row."""
     spark = rows.sparkSession
     base = work_dir(spark, label)
-    with partitions_for(spark, source):
-        jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)).awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", keys, rows.schema)
 
 
@@ -78,7 +79,7 @@ def src_text_lines(spark, sf_dir):
 @query("stream_article_5min", duck(duck_articles(MIN5)))
 def stream_article_5min(spark, sf_dir):
     rows = jobs.article_5min_stream(click_stream(spark, sf_dir))
-    return shown(run_latest(rows, "article-stream", ["slice", *ARTICLE_KEYS], f"{sf_dir}/events.parquet"))
+    return shown(run_latest(rows, "article-stream", ["slice", *ARTICLE_KEYS]))
 
 
 _TIMED_WORDS = """words AS (SELECT epoch_s, unnest([host, cat, host]) AS word FROM clicks)"""
@@ -95,7 +96,7 @@ def _timed_words(source: DataFrame) -> DataFrame:
 )
 def stream_windowed_count(spark, sf_dir):
     rows = jobs.windowed_word_count(_timed_words(click_stream(spark, sf_dir)), "ts", "10 seconds")
-    return _epoch(run_latest(rows, "tumbling", ["slice", "word"], f"{sf_dir}/events.parquet"))
+    return _epoch(run_latest(rows, "tumbling", ["slice", "word"]))
 
 
 @query(
@@ -106,22 +107,25 @@ epoch_s - epoch_s % 10 - 10, epoch_s - epoch_s % 10]) AS slice, word FROM words)
 def stream_sliding_count(spark, sf_dir):
     source = _timed_words(click_stream(spark, sf_dir))
     rows = jobs.windowed_word_count(source, "ts", "30 seconds", "10 seconds")
-    return _epoch(run_latest(rows, "sliding", ["slice", "word"], f"{sf_dir}/events.parquet"))
+    return _epoch(run_latest(rows, "sliding", ["slice", "word"]))
 
 
 @query(
     "stream_running_count",
     rf"""WITH {_TEXT_WORDS}, seed AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text,
-'[ \t\n\x0B\f\r]+')) AS word FROM conversations) GROUP BY 1)
-SELECT word, count(*) + coalesce(any_value(n), 0) AS "count" FROM words LEFT JOIN seed USING (word)
-WHERE word <> '' GROUP BY 1""",
+'[ \t\n\x0B\f\r]+')) AS word FROM conversations) WHERE word <> '' GROUP BY 1),
+counted AS (SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY 1)
+SELECT word, coalesce(c.n, 0) + coalesce(s.n, 0) AS "count" FROM counted c FULL JOIN seed s USING (word)""",
 )
 def stream_running_count(spark, sf_dir):
     lines = text_column_lines(event_stream(spark, sf_dir, "documents"), "text")
     said = table(spark, sf_dir, "conversations").select(F.col("text").alias("line"))
     seed = words.word_count(words.split_words(said))
-    counts = jobs.running_count(words.split_words(lines), seed)
-    return run_latest(counts, "running", ["word"], f"{sf_dir}/documents.parquet")
+    base = work_dir(spark, "running")
+    jobs.running_count_stream(
+        words.split_words(lines), seed, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)
+    ).awaitTermination()
+    return jobs.read_running_count(spark, f"{base}/table")
 
 
 @query("stream_restart", duck('SELECT host, count(*) AS "count" FROM clicks GROUP BY 1'))
@@ -134,8 +138,7 @@ def stream_restart(spark, sf_dir):
         events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{base}/in")
         stream = as_clicks(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
         counts = stream.groupBy("host").agg(F.count(F.lit(1)).alias("count"))
-        with partitions_for(spark, f"{sf_dir}/events.parquet"):
-            jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)).awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", ["host"], counts.schema)
 
 
@@ -150,16 +153,16 @@ _PAIRS = """SELECT a.article_id AS "key", a.event_id AS left_value, b.event_id A
 FROM clicks a JOIN clicks b ON a.article_id = b.article_id AND a.host = 'click' AND b.host = 'view' """
 
 
-def _pairs(joined: DataFrame, label: str, sf_dir: str) -> DataFrame:
+def _pairs(joined: DataFrame, label: str) -> DataFrame:
     pairs = joined.select("key", "left_value", "right_value")
-    return run_appended(pairs, label, source=f"{sf_dir}/events.parquet")
+    return run_appended(pairs, label)
 
 
 @query("join_streams_batch", duck(_PAIRS + "AND a.epoch_s // 3600 = b.epoch_s // 3600"))
 def join_streams_batch(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
     pairs = joins.join_same_batch(left, right, "article_id", "ts", "id", 3600)
-    return _pairs(pairs, "join-batch", sf_dir)
+    return _pairs(pairs, "join-batch")
 
 
 _NEAR = "AND b.ts > a.ts - INTERVAL 60 MINUTE AND b.ts < a.ts + INTERVAL 20 MINUTE"
@@ -169,7 +172,7 @@ _NEAR = "AND b.ts > a.ts - INTERVAL 60 MINUTE AND b.ts < a.ts + INTERVAL 20 MINU
 def join_streams_windowed(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
     pairs = joins.join_windowed(left, right, "article_id", "ts", "id", 1200, 3600)
-    return _pairs(pairs, "join-windowed", sf_dir)
+    return _pairs(pairs, "join-windowed")
 
 
 @query("join_tables_windowed", duck(_PAIRS + _NEAR))
@@ -205,19 +208,23 @@ def sink_append_batch(spark, sf_dir):
     path = work_dir(spark, "daily")
     daily = stored(daily_rows(spark, sf_dir), "daily-rows")
     append.write_partitions(daily, path)
-    # a second run of the first week replaces its days
-    append.write_partitions(daily.where(F.dayofmonth("slice") <= 7), path)
-    rows = spark.read.parquet(path)
-    return shown(rows).withColumn("dt", F.col("dt").cast("string"))
+    # two days are run again, the first time with no rows: that empties them
+    for day in (2, 3):
+        rows = daily.where(F.dayofmonth("slice") == day)
+        for again in (rows.limit(0), rows):
+            append.write_slice(again, path, datetime(2024, 1, day))
+    rows = spark.read.schema(T.StructType([*daily.schema.fields, T.StructField("dt", T.StringType())])).parquet(path)
+    return shown(rows)
 
 
-def _three_batches(spark, target: UpsertTable, deltas) -> DataFrame:
-    # batch 1 comes twice; then all is folded, batch 2 comes again, batch 3 is new
-    for batch in (0, 1, 1, 2):
-        target.upsert(deltas(batch), batch)
+def _four_batches(spark, target: UpsertTable, deltas) -> DataFrame:
+    # one run writes batches 1 and 3, 3 twice, and both are folded; then come an older one, and
+    # another run that counts from 1 again
+    for batch in (1, 3, 3):
+        target.upsert(deltas(batch), batch, "a")
     target.compact(spark)
-    target.upsert(deltas(2), 2)
-    target.upsert(deltas(3), 3)
+    target.upsert(deltas(0), 0, "a")
+    target.upsert(deltas(2), 1, "b")
     return target.read(spark)
 
 
@@ -237,7 +244,7 @@ def sink_upsert_counter(spark, sf_dir):
         )
         return fine
 
-    return _three_batches(spark, target, deltas)
+    return _four_batches(spark, target, deltas)
 
 
 @query("sink_upsert_set", duck(duck_articles(MONTH, "kept"), KEPT_DAYS))
@@ -245,7 +252,7 @@ def sink_upsert_set(spark, sf_dir):
     daily = stored(daily_rows(spark, sf_dir), "daily-rows")
     big = hosts(spark, sf_dir)
     target = trend_table(work_dir(spark, "set"))
-    return shown(_three_batches(
+    return shown(_four_batches(
         spark, target,
         lambda batch: articles.month_deltas(daily.where(F.dayofmonth("slice") % 4 == batch), big),
     ))
@@ -317,7 +324,7 @@ def sink_fan_out(spark, sf_dir):
             "location": F.concat_ws("/", F.col("is_india").cast("string"), "location")}
     out = None
     for output, key in keys.items():
-        rows = jobs.counter_table(base, output).read(spark).select(
+        rows = jobs.read_counter(spark, base, output).select(
             F.lit(output).alias("output"), epoch_seconds("slice").alias("slice"), "article_id", "host",
             key.alias("key"), "count", "tot_tm", "cat",
         )
@@ -325,8 +332,8 @@ def sink_fan_out(spark, sf_dir):
     return out
 
 
-@query("sink_console")
+@query("sink_console", duck("SELECT event_id, host, article_id FROM clicks ORDER BY event_id LIMIT 20"))
 def sink_console(spark, sf_dir):
-    rows = clicks(spark, sf_dir)
-    append.scan_only(rows)
-    return rows.select("event_id", "host", "article_id").limit(20)
+    rows = clicks(spark, sf_dir).select("event_id", "host", "article_id").orderBy("event_id").limit(20)
+    rows.write.format("console").option("numRows", 20).mode("append").save()
+    return rows

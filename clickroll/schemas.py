@@ -22,7 +22,7 @@ RAW_CLICK = T.StructType(
     + [T.StructField(name, T.ArrayType(T.StringType())) for name in _LIST_FIELDS]
     + [
         T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("ts", T.StringType()),
         T.StructField(CORRUPT, T.StringType()),
     ]
 )
@@ -60,6 +60,7 @@ OFFSET_RANGE = T.StructType(
         T.StructField("from_offset", T.LongType()),
         T.StructField("until_offset", T.LongType()),
         T.StructField("description", T.StringType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -100,19 +101,14 @@ def epoch_millis(ts: Column | str) -> Column:
     return F.unix_millis(F.col(ts) if isinstance(ts, str) else ts)
 
 
-def ms_to_s(ms: Column | str) -> Column:
-    """Epoch milliseconds to epoch seconds, whole seconds."""
-    name = F.col(ms) if isinstance(ms, str) else ms
-    return F.floor(name / F.lit(1000)).cast("bigint")
-
-
 def to_documents(df: DataFrame, slice_col: str = "slice", unit: str = "s",
-                 time_name: str = "timeStamp") -> DataFrame:
+                 time_name: str = "timeStamp", date_name: str | None = None) -> DataFrame:
     """Table row to stored document: names of the documents, time as a long.
 
-    ``unit`` is ``ms`` for the 5-minute tables and ``s`` from the hour up.
+    ``unit`` is ``ms`` for the 5-minute tables and counters, ``s`` from the hour up; counters
+    also carry their time as a date, named ``date_name`` (``tsd``).
     """
-    out = df
+    out = df.withColumn(date_name, F.col(slice_col)) if date_name else df
     if slice_col in df.columns:
         stamp = epoch_millis(slice_col) if unit == "ms" else epoch_seconds(slice_col)
         out = out.withColumn(slice_col, stamp).withColumnRenamed(slice_col, time_name)

@@ -52,11 +52,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for tables and checkpoints of one run.
 
     It lies under ``spark.checkpoint.dir``, the folder every executor can
-    reach.  Only where the session names none (a local run) is a temporary
-    folder used.
+    reach.  A session on one machine may leave that unset and gets a temporary
+    folder; on a cluster that would be a folder per machine, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="clickroll-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
@@ -73,24 +76,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-PARTITION_BYTES = 64 << 20
-
-
 @contextmanager
-def partitions_for(spark: SparkSession, path: str) -> Iterator[int]:
-    """Fewer shuffle partitions, while streams over a small input are started.
+def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Shuffle partitions that a stream with state is started with, and keeps for good.
 
-    A stream keeps the number of state partitions it was started with, and AQE
-    does not adapt them.  Inside the block the session's number is lowered to
-    what the input at ``path`` needs, one partition per core at least.
+    AQE does not adapt them, so the owner of a stream names their number; with
+    None the session's own holds.
     """
     key = "spark.sql.shuffle.partitions"
-    before = int(spark.conf.get(key))
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = root.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(root).getLength()
-    needed = max(spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
-    spark.conf.set(key, min(before, needed))
+    before = spark.conf.get(key)
+    if number is not None:
+        spark.conf.set(key, number)
     try:
-        yield min(before, needed)
+        yield
     finally:
         spark.conf.set(key, before)

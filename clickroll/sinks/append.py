@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.functions.slices import day_key
+from clickroll.sinks import files
+
+
+def run_of(batch: DataFrame) -> str:
+    """The run of a micro-batch: the id its checkpoint gave the stream, the same after a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+
+
+def _partitions(ts_col: str | Column, tz: str | None, hourly: bool) -> dict[str, Column]:
+    by = {"dt": day_key(ts_col, tz)}
+    if hourly:
+        by["hr"] = day_key(ts_col, tz, "HH")
+    return by
 
 
 def write_partitions(df: DataFrame, path: str, ts_col: str = "slice",
                      tz: str | None = None, hourly: bool = False) -> None:
-    """Write a batch result into day (or hour) partitions; those it holds are replaced.
+    """Write a batch result into day (or hour) partitions; those it has rows for are replaced.
 
     Rows are brought together by partition first, so each gets few files; AQE
     splits the ones that are too big for one task.
     """
-    by = {"dt": day_key(ts_col, tz)}
-    if hourly:
-        by["hr"] = day_key(ts_col, tz, "HH")
+    by = _partitions(ts_col, tz, hourly)
     (
         df.withColumns(by)
         .hint("rebalance", *by)
@@ -30,39 +43,50 @@ def write_partitions(df: DataFrame, path: str, ts_col: str = "slice",
     )
 
 
-def read_days(spark: SparkSession, path: str, days: list[str], schema) -> DataFrame:
-    """The given days of a partitioned table; only their folders are listed."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [f"{path}/dt={d}" for d in days]
-    held = [f for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
+def slice_folder(path: str, start: datetime, hourly: bool = False) -> str:
+    """Folder of the day (or hour) that begins at ``start``, a wall-clock time of the table's zone."""
+    return f"{path}/dt={start:%Y%m%d}" + (f"/hr={start:%H}" if hourly else "")
+
+
+def write_slice(df: DataFrame, path: str, start: datetime, hourly: bool = False) -> None:
+    """Write the rows of one day (or hour) into its folder; with no rows it is empty from then on."""
+    df.hint("rebalance").write.mode("overwrite").parquet(slice_folder(path, start, hourly))
+
+
+def read_slices(spark: SparkSession, path: str, starts: list[datetime], schema: T.StructType,
+                hourly: bool = False) -> DataFrame:
+    """The given days (or hours) of a table; only their folders are listed."""
+    held = [f for s in starts if files.exists(spark, f := slice_folder(path, s, hourly))]
     if not held:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*held)
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, ts_col: str | None = None) -> None:
+def write_batch(batch: DataFrame, path: str, batch_id: int, run: str = "0", ts_col: str | None = None,
+                tz: str | None = None) -> None:
     """One micro-batch to a folder of its own; writing it again replaces it.
 
-    With ``ts_col`` the folder lies below the day, so that a scan of a few days
-    need not list the batches of the others.
+    With ``ts_col`` the folder lies below day and hour, so that a scan of some
+    hours need not list the batches of the others.
     """
     if ts_col is None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
         return
+    by = _partitions(ts_col, tz, hourly=True)
     (
-        batch.withColumns({"dt": day_key(ts_col), "batch_id": F.lit(batch_id)})
-        .hint("rebalance", "dt")
+        batch.withColumns({**by, "run": F.lit(run), "batch_id": F.lit(batch_id)})
+        .hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "batch_id")
+        .partitionBy(*by, "run", "batch_id")
         .parquet(path)
     )
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All batches of a table, with their ``batch_id``."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    """All batches of a table, with their ``run`` and ``batch_id``."""
+    numbered = T.StructType([*schema.fields, T.StructField("run", T.StringType()),
+                             T.StructField("batch_id", T.LongType())])
     return spark.read.schema(numbered).parquet(path)
 
 
@@ -70,7 +94,7 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, transform=None,
                   trigger: dict | None = None) -> StreamingQuery:
     """Start a stream that appends each micro-batch, after ``transform``, to a table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(transform(batch) if transform else batch, path, batch_id)
+        write_batch(transform(batch) if transform else batch, path, batch_id, run_of(batch))
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -89,11 +113,6 @@ def console(stream: DataFrame, rows: int = 20, checkpoint: str | None = None,
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def scan_only(df: DataFrame) -> None:
-    """Run a plan for its scan alone."""
-    df.write.format("noop").mode("overwrite").save()
-
-
 def with_partition(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Kafka sink rows with the partition their key belongs to."""
     from clickroll.functions.hashing import octet_partition

@@ -1,14 +1,16 @@
 """Counters with insert-or-add semantics, kept as a log of deltas.
 
-A micro-batch writes what it adds to the counters into a folder of its own.
-The table is the sum over the folders: counts add up, tag lists unite, and the
-attributes are those of the earliest entry.  A batch that is retried replaces
-its folder, so nothing is counted twice, and no row is ever updated in place.
-
-``compact`` folds a run of batches into a segment.  Sums are associative, so a
-segment is simply an entry that stands for the batches ``lo`` to ``hi``.
-Readers take finished folders only, a folder being finished once its success
-marker is there.
+A micro-batch writes what it adds to the counters into a folder of its own, named by
+its run and its number.  A run is what shares a checkpoint: a stream on a new checkpoint
+counts its batches from 0 again and is another run.  The table is the sum over the
+folders: counts add up, tag lists unite, and the attributes are those of the earliest
+entry.  A batch that is retried replaces its folder, so nothing is counted twice, and no
+row is ever updated in place.
+
+``compact`` folds batches into a segment, and lists which ones.  A batch is left out by
+readers only if a segment lists it, so late and older batches count whenever they come.
+Readers take finished folders only, a folder being finished once its success marker is
+there; a segment counts once its list is finished.
 """
 
 from __future__ import annotations
@@ -20,15 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BATCH = re.compile(r"batch_id=(\d+)$")
-_SEGMENT = re.compile(r"lo=(\d+)-hi=(\d+)$")
+from clickroll.sinks import files
+
+_BATCH = re.compile(r"run=([^/]+)/batch_id=(\d+)$")
+_SEGMENT = re.compile(r"seg=(\d+)$")
+
+Batch = tuple[str, int]
+"""(run, batch number)"""
 
 
 @dataclass(frozen=True)
 class UpsertTable:
     """A counter table: its keys, added columns, united columns, first-seen ones.
 
-    ``order`` is the column first-seen is decided by; the log adds the batch
+    ``order`` is the column first-seen is decided by; the log adds run and batch
     number where a table has none.
     """
 
@@ -60,58 +67,38 @@ class UpsertTable:
         folded = rows.groupBy(*self.keys).agg(*aggs)
         return folded.select(*self.keys, *self.sums, *self.sets, "_first.*")
 
-    def _entry(self, deltas: DataFrame, batch_id: int) -> DataFrame:
+    def _entry(self, deltas: DataFrame, batch_id: int, run: str) -> DataFrame:
         order = F.col(self.order) if self.order else F.lit(None)
         return deltas.select(
             *self.keys, *self.sums, *self.sets, *self.firsts,
             F.struct(F.coalesce(order.cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
                      .alias("seen"),
-                     F.lit(batch_id).cast("bigint").alias("batch")).alias("_order"),
+                     F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch")).alias("_order"),
         )
 
     # --- folders -------------------------------------------------------
-    def _finished(self, spark: SparkSession, sub: str) -> list[str]:
-        """Finished folders below the table, by name."""
-        jvm = spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}")
-        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = []
-        for status in fs.listStatus(root):
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if status.isDirectory() and fs.exists(marker):
-                names.append(status.getPath().getName())
-        return names
-
-    def _segments(self, spark: SparkSession) -> list[tuple[int, int]]:
-        """Finished segments that no larger segment contains, in order."""
-        found = [m for n in self._finished(spark, "segments") if (m := _SEGMENT.match(n))]
-        spans = sorted({(int(m[1]), int(m[2])) for m in found}, key=lambda s: (s[0], -s[1]))
-        kept: list[tuple[int, int]] = []
-        for lo, hi in spans:
-            if not kept or lo > kept[-1][1]:
-                kept.append((lo, hi))
-        return kept
-
-    def _batches(self, spark: SparkSession, above: int) -> list[int]:
-        found = [m for n in self._finished(spark, "batches") if (m := _BATCH.match(n))]
-        return sorted(b for m in found if (b := int(m[1])) > above)
+    def _state(self, spark: SparkSession) -> tuple[list[int], set[Batch], list[Batch]]:
+        """Segments in use, the batches they list, and the finished batches they do not."""
+        lists = [f"{self.path}/folds/{n}" for n in files.finished(spark, f"{self.path}/folds")]
+        noted = spark.read.schema("seg long, run string, batch_id long, replaces long").parquet(*lists).collect() if lists else []
+        gone = {r.replaces for r in noted if r.replaces is not None}
+        live = sorted({r.seg for r in noted} - gone)
+        folded = {(r.run, r.batch_id) for r in noted if r.seg in live and r.run is not None}
+        found = [m for n in files.finished(spark, f"{self.path}/batches") if (m := _BATCH.search(n))]
+        return live, folded, sorted({(m[1], int(m[2])) for m in found} - folded)
 
     # --- public --------------------------------------------------------
-    def upsert(self, deltas: DataFrame, batch_id: int) -> None:
-        """Add a batch's deltas; a batch that was folded already is left alone."""
-        spark = deltas.sparkSession
-        segments = self._segments(spark)
-        if segments and batch_id <= segments[-1][1]:
-            return
-        self._entry(deltas, batch_id).write.mode("overwrite").parquet(
-            f"{self.path}/batches/batch_id={batch_id}"
+    def upsert(self, deltas: DataFrame, batch_id: int, run: str = "0") -> None:
+        """Add a batch's deltas.  A batch that a segment lists cannot be written again: an error."""
+        if (run, batch_id) in self._state(deltas.sparkSession)[1]:
+            raise ValueError(f"batch {batch_id} of run {run} was folded already in {self.path}")
+        self._entry(deltas, batch_id, run).write.mode("overwrite").parquet(
+            f"{self.path}/batches/run={run}/batch_id={batch_id}"
         )
 
-    def _read(self, spark: SparkSession, segments, batches) -> DataFrame | None:
-        folders = [f"{self.path}/segments/lo={lo}-hi={hi}" for lo, hi in segments]
-        folders += [f"{self.path}/batches/batch_id={b}" for b in batches]
+    def _read(self, spark: SparkSession, segments: list[int], batches: list[Batch]) -> DataFrame | None:
+        folders = [f"{self.path}/segments/seg={s}" for s in segments]
+        folders += [f"{self.path}/batches/run={r}/batch_id={b}" for r, b in batches]
         if not folders:
             return None
         # every folder is a table root, so "batch_id=3" does not become a column
@@ -120,16 +107,16 @@ class UpsertTable:
         return frames.parquet(*folders)
 
     def read(self, spark: SparkSession, before: int | None = None,
-             empty: T.StructType | None = None) -> DataFrame:
-        """Current rows of the table, or those from before a batch.
+             empty: T.StructType | None = None, run: str = "0") -> DataFrame:
+        """Current rows of the table, or those without the batches of ``run`` from ``before`` on.
 
         ``empty`` is the schema to return no rows with while nothing is written.
         """
-        segments = self._segments(spark)
-        batches = self._batches(spark, segments[-1][1] if segments else -1)
+        segments, folded, batches = self._state(spark)
         if before is not None:
-            segments = [s for s in segments if s[1] < before]
-            batches = [b for b in batches if b < before]
+            if any(r == run and b >= before for r, b in folded):
+                raise ValueError(f"batches of run {run} from {before} on were folded already in {self.path}")
+            batches = [(r, b) for r, b in batches if r != run or b < before]
         entries = self._read(spark, segments, batches)
         if entries is None:
             if empty is None:
@@ -137,22 +124,28 @@ class UpsertTable:
             return spark.createDataFrame([], empty)
         return self._fold(entries).drop("_order")
 
-    def compact(self, spark: SparkSession, everything: bool = False) -> tuple[int, int] | None:
-        """Fold the batches behind the last segment into a new segment.
+    def compact(self, spark: SparkSession, everything: bool = False, keep: int = 0) -> int | None:
+        """Fold the open batches into a new segment; how many entries went in, if any did.
 
-        The cost is that of the folded batches.  With ``everything`` the older
-        segments are folded in as well.  Nothing is deleted: what a segment
-        covers is no longer read, and may be removed by its owner.
+        The newest ``keep`` batches of each run stay open, since a stream may have to
+        write its last one again.  With ``everything`` the older segments are folded in
+        as well.  Nothing is deleted: what a segment covers is no longer read, and may
+        be removed by its owner.
         """
-        segments = self._segments(spark)
-        batches = self._batches(spark, segments[-1][1] if segments else -1)
+        segments, folded, batches = self._state(spark)
+        newest = {r: sorted(b for q, b in batches if q == r)[-keep:] if keep else [] for r, _ in batches}
+        batches = [(r, b) for r, b in batches if b not in newest[r]]
         old = segments if everything else []
         if len(batches) + len(old) < 2:
             return None
-        lo = old[0][0] if old else batches[0]
-        hi = batches[-1] if batches else old[-1][1]
-        entries = self._read(spark, old, batches)
-        self._fold(entries).write.mode("overwrite").parquet(
-            f"{self.path}/segments/lo={lo}-hi={hi}"
+        tried = files.finished(spark, f"{self.path}/segments")
+        number = 1 + max([-1, *(int(m[1]) for n in tried if (m := _SEGMENT.search(n)))])
+        self._fold(self._read(spark, old, batches)).write.mode("overwrite").parquet(
+            f"{self.path}/segments/seg={number}"
         )
-        return lo, hi
+        noted = [(number, r, b, None) for r, b in batches]
+        if everything:
+            noted += [(number, r, b, None) for r, b in sorted(folded)] + [(number, None, None, s) for s in old]
+        spark.createDataFrame(noted, "seg long, run string, batch_id long, replaces long").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.path}/folds/seg={number}")
+        return len(batches) + len(old)

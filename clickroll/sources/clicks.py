@@ -16,7 +16,10 @@ def read_click_stream(
     schema=None,
     starting_offsets: str = "latest",
 ) -> DataFrame:
-    """Unbounded click source with text columns ``key`` and ``value``.
+    """Unbounded click source with text columns ``key`` and ``value``, and ``timestamp``.
+
+    ``timestamp`` is when the source got the message: the broker's time, a column of
+    the files, or else the time of the file.
 
     ``fmt="kafka"`` needs ``kafka.bootstrap.servers`` and ``subscribe`` among
     the options and the Kafka connector on the class path; ``starting_offsets``
@@ -29,11 +32,14 @@ def read_click_stream(
         return reader.load().select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
-            "topic", "partition", "offset",
+            "topic", "partition", "offset", "timestamp",
         )
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load()
+    rows = reader.load()
+    if "timestamp" in rows.columns:
+        return rows
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("timestamp"))
 
 
 def parse_clicks(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -51,20 +57,34 @@ def parse_clicks(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(*others, F.col(value).alias("_value"), F.inline(F.array(parsed)))
 
 
+def event_time(rows: DataFrame) -> Column:
+    """When the click was: its own time, or else when the source got it.
+
+    A number is epoch milliseconds; text that is no time counts as none.
+    """
+    text = F.btrim("ts")
+    number = F.timestamp_millis(text.try_cast("double").try_cast("bigint"))
+    # years of four digits: what lies beyond is no time of a click
+    own = F.when(text.rlike("^[+-]?[0-9]+([.][0-9]*)?([eE][+]?[0-9]+)?$"), number).otherwise(text.try_cast("timestamp"))
+    own = F.when(F.year(own).between(1, 9999), own)
+    return F.coalesce(own, F.col("timestamp").cast("timestamp")) if "timestamp" in rows.columns else own
+
+
 def is_bad(parsed: DataFrame) -> Column:
-    """True for a message that is no JSON object."""
+    """True for a message that is no JSON object, or has no time of any kind."""
     # A single odd field marks a row corrupt too, but its other fields are there
     # and the click counts, so only marked rows are looked at again.
-    text = F.trim("_value")
+    text = F.btrim("_value", F.lit(" \t\r\n"))
     no_object = F.get_json_object("_value", "$").isNull() | ~text.startswith("{")
     return (
         F.col("_value").isNull() | (text == "") | (F.col(CORRUPT).isNotNull() & no_object)
+        | event_time(parsed).isNull()
     )
 
 
 def good_clicks(parsed: DataFrame) -> DataFrame:
-    """Messages that are JSON objects."""
-    return parsed.where(~is_bad(parsed)).drop("_value", CORRUPT)
+    """Messages that are JSON objects, with their time as ``ts``."""
+    return parsed.where(~is_bad(parsed)).withColumn("ts", event_time(parsed)).drop("_value", CORRUPT)
 
 
 def quarantined_clicks(parsed: DataFrame) -> DataFrame:
@@ -117,7 +137,9 @@ def normalise_agent_events(raw: DataFrame) -> DataFrame:
 def page_access(messages: DataFrame, value: str = "value") -> DataFrame:
     """Five-minute access count and url of a page-access message."""
     parsed = F.from_json(F.col(value), "pgAccess5Min int, url string")
-    return messages.select(parsed.alias("m")).select(
+    # what is no JSON has no access count; a missing field alone drops nothing
+    json = messages.where(F.get_json_object(F.col(value), "$").isNotNull())
+    return json.select(parsed.alias("m")).select(
         F.col("m.pgAccess5Min").alias("pg_access_5min"), "m.url"
     )
 
@@ -125,12 +147,3 @@ def page_access(messages: DataFrame, value: str = "value") -> DataFrame:
 def flag_error_docs(clicks: DataFrame, keys: list[str], empty_too: bool = False) -> DataFrame:
     """Add ``is_error_doc`` for rows that lack a key; they are kept."""
     return clicks.withColumn("is_error_doc", is_error_doc(*keys, empty_too=empty_too))
-
-
-def observe_errors(clicks: DataFrame, name: str) -> DataFrame:
-    """Report rows and error rows of a run through ``observe`` at no extra pass."""
-    return clicks.observe(
-        name,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("is_error_doc")).alias("error_rows"),
-    )

@@ -72,9 +72,11 @@ def hour_rows(table: DataFrame, hour: datetime, ts_col: str = "slice") -> DataFr
 
 
 def pushdown_scan(table: DataFrame, columns: list[str], predicate: Column,
-                  limit: int | None = None) -> DataFrame:
-    """Column list, predicate and optional row limit, all handed to the source."""
+                  limit: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """Column list and predicate, handed to the source; of the rows the first ``limit`` by ``order``."""
     rows = table.where(predicate).select(*columns)
+    if order:
+        rows = rows.orderBy(*order)
     return rows if limit is None else rows.limit(limit)
 
 

@@ -1,8 +1,7 @@
 """Structured Streaming versions of the jobs.
 
 Two ways are offered for counts.  Where a batch's counts simply add up, each
-micro-batch writes its own aggregate (``upsert_stream``): no state, no
-watermark, no late data lost.  Where results per window must stand on their
+micro-batch writes its own aggregate: no state, no watermark, no late data lost.  Where results per window must stand on their
 own, the stream keeps state under a watermark and every change of a row is
 written with its batch number; the table is the last version of each row
 (``latest_stream``).
@@ -10,17 +9,19 @@ written with its batch number; the table is the last version of each row
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.operators.articles import as_counts, merge_article_rows
-from clickroll.operators.dashboard import COUNTERS, OUTPUTS, dashboard_keys
-from clickroll.sinks.append import observed, read_batches, write_batch
+from clickroll.operators.dashboard import COUNTERS, OUTPUTS, dashboard_counts, merge_counter
+from clickroll.session import state_partitions
+from clickroll.sinks.append import observed, read_batches, read_slices, run_of, write_batch
+from clickroll.sinks.files import exists
 from clickroll.sinks.ledgers import offset_ranges
-from clickroll.sinks.upserts import UpsertTable
 
 # Seconds between micro-batches, per job interval.
 TRIGGER_SECONDS = {"MINUTE": 20, "HOUR": 3600, "WEEK": 604800, "MONTH": 2592000}
@@ -34,18 +35,24 @@ def trigger_for(interval: str | None) -> dict:
 
 
 def latest_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "update",
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Write every changed row of a stateful stream under its batch number."""
+                  trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
+    """Write every changed row of a stateful stream under its batch number.
+
+    ``partitions`` is the number of its state partitions, which it keeps for good.  The
+    table holds the changes of one run: on a new checkpoint the state starts anew,
+    and so should the table.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        write_batch(batch, path, batch_id, run_of(batch))
 
-    return (
-        rows.writeStream.outputMode(mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or trigger_for(None)))
-        .start()
-    )
+    with state_partitions(rows.sparkSession, partitions):
+        return (
+            rows.writeStream.outputMode(mode)
+            .foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or trigger_for(None)))
+            .start()
+        )
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], schema) -> DataFrame:
@@ -72,51 +79,75 @@ def windowed_word_count(words: DataFrame, ts_col: str, length: str, step: str |
     return counted.select(F.col("window.start").alias("slice"), "word", "count")
 
 
-def running_count(words: DataFrame, seed: DataFrame) -> DataFrame:
-    """Running count per word over all batches, on top of a seed table.
+def running_count(words: DataFrame) -> DataFrame:
+    """Running count per word over all batches, as Spark's own state.
 
-    The state is Spark's own running count, summed per task before it is
-    shuffled, so a hot word is one row per task.  The seed is added to what the
-    stream counted, which is the same as starting from it.  Use update mode.
+    It is summed per task before it is shuffled, so a hot word is one row per task.
+    Use update mode.
     """
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-    start = seed.groupBy("word").agg(F.sum("count").alias("_seed"))
-    total = F.col("_n") + F.coalesce(F.col("_seed"), F.lit(0))
-    return counts.join(start, "word", "left").select("word", total.alias("count"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def upsert_stream(stream: DataFrame, table: UpsertTable,
-                  to_deltas: Callable[[DataFrame], DataFrame], checkpoint: str,
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Add each micro-batch's deltas to a counter table."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(to_deltas(batch), batch_id)
+def running_count_stream(words: DataFrame, seed: DataFrame, path: str, checkpoint: str,
+                         trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
+    """Running counts on top of a seed; ``read_running_count`` has every word of either.
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or trigger_for(None)))
-        .start()
-    )
+    The seed is aggregated and stored once, beside the changes, and no micro-batch
+    reads it; a restart finds it there.
+    """
+    spark = words.sparkSession
+    if not exists(spark, f"{path}/seed/_SUCCESS"):
+        seed.groupBy("word").agg(F.sum("count").alias("count")).write.mode("overwrite").parquet(f"{path}/seed")
+    return latest_stream(running_count(words), f"{path}/counts", checkpoint, "update", trigger, partitions)
+
+
+def read_running_count(spark: SparkSession, path: str) -> DataFrame:
+    """Seed and counted words, added up: seed words that never came are there too."""
+    seed = spark.read.schema("word string, count bigint").parquet(f"{path}/seed")
+    counted = read_latest(spark, f"{path}/counts", ["word"], seed.schema)
+    return seed.unionByName(counted).groupBy("word").agg(F.sum("count").alias("count"))
+
+
+def counter_schema(output: str) -> str:
+    """Columns of a dashboard counter table."""
+    keys = ", ".join(f"{k} {'int' if k == 'is_india' else 'string'}" for k in COUNTERS[output][1][1:])
+    return f"slice timestamp, {keys}, count bigint, tot_tm bigint, cat string, first_ts timestamp"
 
 
-def counter_table(path: str, output: str) -> UpsertTable:
-    """The counter table of a dashboard output."""
-    _, keys = COUNTERS[output]
-    return UpsertTable(f"{path}/{output}", keys, ["count", "tot_tm"], ["cat"], order="first_ts")
+def write_counter(rows: DataFrame, path: str, output: str, batch_id: int, run: str = "0", tz: str | None = None) -> None:
+    """Add dashboard rows to a counter: one entry below the hour that they count for.
+
+    The folder is named by the start of that hour; the rows carry its end.  A batch
+    that is written again replaces its entry.
+    """
+    counts, _ = COUNTERS[output]
+    begun = F.col("slice") - F.expr("INTERVAL 1 HOUR")
+    write_batch(counts(rows), f"{path}/{output}", batch_id, run, begun, tz)
+
+
+def read_counter(spark: SparkSession, path: str, output: str, hours: list[datetime] | None = None) -> DataFrame:
+    """A counter table, or those of its hours that begin at ``hours`` (of the table's zone).
+
+    Its entries are summed; only the folders of the hours asked for are listed.
+    """
+    schema = T.StructType.fromDDL(counter_schema(output))
+    if hours is None:
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{output}")
+    else:
+        rows = read_slices(spark, f"{path}/{output}", hours, schema, hourly=True)
+    return merge_counter(rows, output).drop("first_ts")
 
 
 def dashboard_stream(clicks: DataFrame, path: str, checkpoint: str, outputs: list[int],
-                     trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, tz: str | None = None) -> StreamingQuery:
     """One keyed pre-aggregate per micro-batch, added to each chosen counter table."""
     chosen = [OUTPUTS[o] for o in outputs]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed = observed(dashboard_keys(batch), "dashboard_rows").persist()
+        keyed = observed(dashboard_counts(batch, tz), "dashboard_rows").persist()
         try:
             for output in chosen:
-                counts, _ = COUNTERS[output]
-                counter_table(path, output).upsert(counts(keyed), batch_id)
+                write_counter(keyed, path, output, batch_id, run_of(batch), tz)
         finally:
             keyed.unpersist()
 
@@ -132,7 +163,7 @@ def offset_stream(messages: DataFrame, path: str, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
     """Note the offset range of every micro-batch; the checkpoint stays the truth."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(offset_ranges(batch), path, batch_id)
+        write_batch(offset_ranges(batch), path, batch_id, run_of(batch))
 
     return (
         messages.writeStream.foreachBatch(write)
