@@ -163,7 +163,7 @@ def format_conversations(rows: DataFrame, tokenizer: bytes, *, key: str = "conv_
             heads, bodies = [turn_head(r) for _, r, _ in some], [escape(t) for _, _, t in some]
             ids = encoder.encode([h + b + END for h, b in zip(heads, bodies, strict=True)])
             for (conv, r, _), head, body, i in zip(some, heads, bodies, ids, strict=True):
-                yield conv, Turn(r, head, body, len(i))
+                yield conv, Turn(r, head, body, len(i) // encoder.width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []

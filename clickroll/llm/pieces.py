@@ -76,8 +76,8 @@ class Normaliser:
         self.map = CharacterMap(blob)
         self.dummy, self.squeeze, self.escape, self.suffix = dummy_prefix, squeeze, escape, suffix
         # bytes that may begin a mapped prefix; what lies between is copied
-        special = self.map.starts + b" "
-        self.plain = re.compile(rb"[^" + re.escape(special) + rb"]+")
+        starts = self.map.starts
+        self.plain = re.compile(rb"[^" + re.escape(starts) + rb"]+" if starts else rb"(?s:.)+")
 
     def __call__(self, raw: bytes) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and for each the offset of its source (one more for the end)."""
@@ -86,7 +86,6 @@ class Normaliser:
         at = 0
         while at < len(raw):
             run = self.plain.match(raw, at)
-            # a run must not end inside a character: its last bytes are no starts of prefixes
             if run:
                 parts.append(run[0])
                 sources.append(np.arange(at, run.end()))
@@ -160,49 +159,47 @@ class Codec:
             and not any("\n" in p or " " in p or (MARK in p[1:] and p.strip(MARK)) for p in normal))
         self.units = Memo(self._unit, memo)
 
-    def _unit(self, unit: str) -> tuple[list[int], str, list[int]]:
+    def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
         if unit == " ":
             ids = [self.mark]
         elif unit[0] == " ":
             ids = self.library.encode(unit[1:])      # the library adds the first blank
         else:
             ids = self.library.encode(unit)[1:]
-        return ids, "".join(f"{i}," for i in ids), [self.sizes[i] for i in ids]
+        return _packed(ids, [self.sizes[i] for i in ids])
 
-    def ids(self, text: str) -> tuple[list[int], str, list[int]]:
+    def ids(self, text: str) -> tuple[np.ndarray, bytes, np.ndarray]:
         """Ids, the same as text with commas behind, and bytes of each piece as normalised."""
-        ids: list[int] = []
         if not text:
-            return ids, "", []
-        if not self.by_unit:
+            found = []
+        elif self.by_unit:
+            found = list(map(self.units.__getitem__, self._UNITS.findall(" " + text.replace(MARK, " "))))
+        else:
             ids = self.library.encode(text)
-            return ids, "".join(f"{i}," for i in ids), self._piece_sizes(text, ids)
-        names: list[str] = []
-        sizes: list[int] = []
-        units = self.units
-        for unit in self._UNITS.findall(" " + text.replace(MARK, " ")):
-            more, name, size = units[unit]
-            ids += more
-            names.append(name)
-            sizes += size
-        return ids, "".join(names), sizes
+            found = [_packed(ids, self._piece_sizes(text, ids))]
+        return (np.frombuffer(b"".join([f[0] for f in found]), "<i4"), b"".join([f[1] for f in found]),
+                np.frombuffer(b"".join([f[2] for f in found]), "<i4"))
 
     def _piece_sizes(self, text: str, ids: list[int]) -> list[int]:
         pieces = self.library.encode(text, out_type=str) if self.unknown in ids else None
         return [len(pieces[k].encode()) if pieces and i == self.unknown else self.sizes[i] for k, i in enumerate(ids)]
 
-    def spans(self, text: str, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def spans(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last-but-one byte of the original text for pieces of these sizes."""
         raw = encoded(text)
         out, source = self.normalise(raw)
-        ends = np.cumsum(np.array(sizes, np.int64))
+        ends = np.cumsum(sizes, dtype=np.int64)
         if len(ends) and ends[-1] != len(out):
             raise ValueError("pieces do not add up to the normalised text")
         edges = source[np.concatenate([[0], ends])] if len(ends) else np.zeros(1, np.int64)
         return edges[:-1], edges[1:]
 
-    def decode(self, ids: list[int]) -> str:
-        return self.library.decode(ids)
+    def decode(self, ids: np.ndarray) -> str:
+        return self.library.decode(ids.tolist())
+
+
+def _packed(ids: list[int], sizes: list[int]) -> tuple[bytes, bytes, bytes]:
+    return np.array(ids, "<i4").tobytes(), b"".join([b"%d," % i for i in ids]), np.array(sizes, "<i4").tobytes()
 
 
 def worker_codec(model: bytes) -> Codec:
@@ -233,7 +230,7 @@ def encode(text: Column, model: bytes, *fields: str) -> Column:
                 ids, names, sizes = codec.ids(t)
                 row = {"n_tokens": len(ids), "ids": ids}
                 if "ids_sha256" in fields:
-                    row["ids_sha256"] = hashlib.sha256(names[:-1].encode()).hexdigest()
+                    row["ids_sha256"] = hashlib.sha256(names[:-1]).hexdigest()
                 if need_spans:
                     row["begins"], row["ends"] = codec.spans(t, sizes)
                     both = np.stack([row["begins"], row["ends"]], axis=1).astype("<u4")
@@ -253,7 +250,7 @@ def decode(ids: Column, model: bytes) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = worker_codec(model)
         for arrays in batches:
-            yield pd.Series([codec.decode([int(i) for i in a]) for a in arrays.array], dtype="object")
+            yield pd.Series([codec.decode(np.asarray(a, np.int32)) for a in arrays.array], dtype="object")
 
     return run(F.coalesce(ids, F.array().cast("array<int>")))
 

@@ -48,23 +48,25 @@ _GAMMA = 2.0
 
 # --- encoding -------------------------------------------------------------------------
 class ByteEncoder:
-    """Ids of the tokenizers library.
+    """Ids of the tokenizers library, packed as little-endian numbers of ``width`` bytes.
 
-    A byte-level BPE with the usual split never joins across the blank before a word, so
-    a text goes word by word through a bounded memo.  Texts with strings or characters
-    that would be split elsewhere go to the library whole, as do all texts of a tokenizer of
-    another kind.
+    A byte-level BPE with the usual split never joins across the blank before a word, nor
+    across the end of a run of letters, so a text goes word by word through a bounded memo.
+    Texts with strings or characters that would be split elsewhere go to the library whole,
+    as do all texts of a tokenizer of another kind.
     """
 
-    # words with the blank before them; of a longer run of white space the last one apart
-    _UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+    # A run of plain letters, if no letter of another kind follows; else all up to the next
+    # white space.  A blank belongs to what follows it, of more white space only the last one.
+    _UNITS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?![^\W\d_])| ?\S+|\s+(?!\S)|\s+")
 
-    def __init__(self, blob: bytes, memo: int = 400_000) -> None:
+    def __init__(self, blob: bytes, memo: int = 1_000_000, width: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         spec = json.loads(blob)
         self.library = Tokenizer.from_buffer(blob)
         self.size = self.library.get_vocab_size(with_added_tokens=True)
+        self.width = width or (2 if self.size <= 1 << 16 else 4)
         split = spec.get("pre_tokenizer") or {}
         self.by_unit = (
             split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
@@ -72,28 +74,32 @@ class ByteEncoder:
         # separators 1c-1f are white space here, but not to the library
         odd = [re.escape(t["content"]) for t in spec.get("added_tokens", [])] + ["[\x1c-\x1f]"]
         self.whole = re.compile("|".join(odd))
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
         self.limit = memo
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text; words not seen before are encoded together."""
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    @property
+    def kind(self) -> str:
+        return "<u2" if self.width == 2 else "<u4"
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of each text; words not seen before are encoded together."""
+        if len(self.memo) > self.limit:
+            self.memo.clear()
         memo = self.memo
-        if len(memo) > self.limit:
-            memo.clear()
         units = [None if not self.by_unit or self.whole.search(t) else self._UNITS.findall(t) for t in texts]
         new = list({u for some in units if some for u in some if u not in memo})
         for start in range(0, len(new), 4096):
             some = new[start:start + 4096]
             found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            memo.update((u, e.ids) for u, e in zip(some, found, strict=True))
+            memo.update((u, self.pack(e.ids)) for u, e in zip(some, found, strict=True))
         for text, some in zip(texts, units, strict=True):
             if some is None:
-                yield self.library.encode(text, add_special_tokens=False).ids
+                yield self.pack(self.library.encode(text, add_special_tokens=False).ids)
             else:
-                ids: list[int] = []
-                for u in some:
-                    ids += memo[u]
-                yield ids
+                yield b"".join(map(memo.__getitem__, some))
 
 
 def worker_encoder(blob: bytes) -> ByteEncoder:
@@ -242,7 +248,7 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: bytes, *, key: st
         from pyarrow import fs
 
         encoder = worker_encoder(tokenizer)
-        width = 2 if max(encoder.size, (end_id or 0) + 1) <= 1 << 16 else 4
+        end = b"" if end_id is None else encoder.pack([end_id])
         files, path = fs.FileSystem.from_uri(folder)
         task = TaskContext.get()
         shard, attempt = name(task.partitionId()), task.taskAttemptId()
@@ -254,16 +260,14 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: bytes, *, key: st
                 files.create_dir(path, recursive=True)
                 out = files.open_output_stream(f"{path}/_{shard}-{attempt}.ids")
             for (k, _), ids in zip(some, encoder.encode([t for _, t in some]), strict=True):
-                if end_id is not None:
-                    ids = [*ids, end_id]
-                out.write(np.array(ids, "<u2" if width == 2 else "<u4").tobytes())
+                out.write(ids + end)
                 keys.append(k)
-                ends.append(ends[-1] + len(ids))
+                ends.append(ends[-1] + (len(ids) + len(end)) // encoder.width)
         if out is None:
             return
         out.close()
         with files.open_output_stream(f"{path}/_{shard}-{attempt}.idx") as index:
-            index.write(index_bytes(keys, np.array(ends), width))
+            index.write(index_bytes(keys, np.array(ends), encoder.width))
         for kind in ("ids", "idx"):
             files.move(f"{path}/_{shard}-{attempt}.{kind}", f"{path}/{shard}.{kind}")
         yield pa.RecordBatch.from_pydict({
@@ -315,7 +319,8 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
                         zip(*out, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                     names=["key", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("shard", "start").repartition("shard").mapInArrow(
+    # a task for each shard, however small its row here
+    return manifest.select("shard", "start").repartition(max(1, manifest.count()), "shard").mapInArrow(
         read, "key string, start long, n_tokens long, ids_crc32 long")
 
 
