@@ -37,16 +37,20 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_day_partitions_are_pruned(spark, tmp_path):
     from datetime import datetime
 
-    from clickroll.sinks.append import read_days, write_partitions
+    from clickroll.sinks.append import read_slices, write_partitions
     from clickroll.sources.scans import hourly_articles
 
     path = str(tmp_path / "t")
     write_partitions(articles.article_5min(clicks(spark, SF)), path)
     rows = hourly_articles(spark.read.parquet(path), datetime(2024, 1, 15), hosts(spark, SF))
     assert re.search(r"PartitionFilters: \[.*20240114.*20240115", plan(rows))
-    days = read_days(spark, path, ["20240114", "20990101"], articles.article_5min(clicks(spark, SF)).schema)
+    schema = articles.article_5min(clicks(spark, SF)).schema
+    days = read_slices(spark, path, [datetime(2024, 1, 14), datetime(2099, 1, 1)], schema)
     assert len(days.inputFiles()) >= 1 and all("dt=20240114" in f for f in days.inputFiles())
-    assert read_days(spark, path, ["20990101"], days.schema).count() == 0
+    assert read_slices(spark, path, [datetime(2099, 1, 1)], days.schema).count() == 0
+    write_partitions(articles.article_5min(clicks(spark, SF)), path + "-h", hourly=True)
+    hour = read_slices(spark, path + "-h", [datetime(2024, 1, 14, 5)], schema, hourly=True)
+    assert all("dt=20240114/hr=05" in f for f in hour.inputFiles()) and hour.inputFiles()
 
 
 def test_messages_are_parsed_once(spark):
