@@ -301,10 +301,36 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, *, key: str = "d
     return clean.select("_row.*")
 
 
-@query("op3_decontaminate")
+_SQL = f"""
+WITH words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS ws FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+parts AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS part FROM (
+    SELECT item_id, ws, least({WINDOW}, len(ws)) AS k, unnest(range(1, len(ws) - least({WINDOW}, len(ws)) + 2)) AS i
+    FROM items WHERE len(ws) > 0)),
+places AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS part FROM (
+    SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+    FROM words, (SELECT DISTINCT k FROM parts) WHERE len(ws) >= k)),
+found AS (SELECT doc_id, i, k, item_id FROM places JOIN parts USING (k, part)),
+hits AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY 1),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(l.n, 0) AS n_items,
+  sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(ws) AS contaminated
+FROM words LEFT JOIN hits h USING (doc_id) LEFT JOIN listed l USING (doc_id)
+"""
+
+
+@query("op3_decontaminate", _SQL)
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
         F.col("_id").cast("long").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        contaminated().alias("contaminated"), "n_near")
+        contaminated().alias("contaminated"))

@@ -270,7 +270,25 @@ def dedup_substrings(documents: DataFrame, *, key: str = "doc_id", text: str = "
     return done.select(F.col("_id").alias(key), *names[1:5], *(["kept"] if with_text else []))
 
 
-@query("op4_substrings")
+_SQL = f"""
+WITH words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+places AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS part FROM (
+    SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW} + 2)) AS i FROM words WHERE len(ws) >= {WINDOW})),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS pos
+  FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY part) AS first FROM places) WHERE first < doc_id),
+kept AS (
+  SELECT doc_id, count(g.pos) AS n, string_agg(word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS text
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM words) w
+  LEFT JOIN gone g USING (doc_id, pos) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op4_substrings", _SQL)
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"), with_text=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
