@@ -118,7 +118,6 @@ def merge_article_counts(spark, sf_dir):
 
 
 # --- dashboard ---------------------------------------------------------
-_DASH = ["host", "geo_location", "is_india", "referer", "grp", "article_id"]
 _KEYED = f"""SELECT {HOUR} AS slice, host, geo_location, is_india, referer, grp, article_id, count(*) AS "count",
 CAST(sum(dnld_time) AS BIGINT) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).c AS cat FROM clicks GROUP BY 1, 2, 3, 4, 5, 6, 7"""
 

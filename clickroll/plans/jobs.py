@@ -97,10 +97,6 @@ def _start(stream: DataFrame, write, checkpoint: str, trigger: dict | None) -> S
     )
 
 
-def _clicks(batch: DataFrame) -> DataFrame:
-    return messages.normalise_clicks(messages.good_clicks(messages.parse_clicks(batch)))
-
-
 def _watched(batch: DataFrame, batch_id: int, job: str, tables: Tables, keys: list[str],
              write: Callable[[DataFrame], None]) -> None:
     """Hand the good messages of a batch to ``write``; count the others and put them aside.
