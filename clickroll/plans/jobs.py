@@ -268,6 +268,11 @@ def daily_articles(spark: SparkSession, tables: Tables, day: datetime, least: in
     trend_table(tables.path("article_week")).upsert(articles.week_deltas(written, tables.zone), number)
 
 
+def read_counter(spark: SparkSession, tables: Tables, output: str, hours: list[datetime] | None = None) -> DataFrame:
+    """A counter table, or some of its hours; messages carry the country flag as text."""
+    return streams.read_counter(spark, tables.root, output, hours, "string")
+
+
 def by_category(spark: SparkSession, tables: Tables, hour: datetime) -> None:
     """The four category rollups of one hour, and the note that they ran.
 
@@ -279,7 +284,7 @@ def by_category(spark: SparkSession, tables: Tables, hour: datetime) -> None:
     )
     for output, rollup in (("location", grouping.location_by_cat), ("referer", grouping.referer_by_cat),
                            ("response", grouping.response_by_cat)):
-        counted = streams.read_counter(spark, tables.root, output, [hour])
+        counted = read_counter(spark, tables, output, [hour])
         append.write_slice(rollup(counted), tables.path(f"{output}_by_cat"), hour, hourly=True)
     stamp = F.unix_seconds(instant(tables.utc(hour))).alias("exec_ts")
     ledgers.log_runs(spark.range(1).select(F.lit("by_category").alias("job"), stamp), tables.path("runs"))

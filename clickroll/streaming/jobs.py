@@ -108,9 +108,9 @@ def read_running_count(spark: SparkSession, path: str) -> DataFrame:
     return seed.unionByName(counted).groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def counter_schema(output: str) -> str:
-    """Columns of a dashboard counter table."""
-    keys = ", ".join(f"{k} {'int' if k == 'is_india' else 'string'}" for k in COUNTERS[output][1][1:])
+def counter_schema(output: str, flag: str = "int") -> str:
+    """Columns of a dashboard counter table; ``flag`` is the type of its country flag."""
+    keys = ", ".join(f"{k} {flag if k == 'is_india' else 'string'}" for k in COUNTERS[output][1][1:])
     return f"slice timestamp, {keys}, count bigint, tot_tm bigint, cat string, first_ts timestamp"
 
 
@@ -125,12 +125,13 @@ def write_counter(rows: DataFrame, path: str, output: str, batch_id: int, run: s
     write_batch(counts(rows), f"{path}/{output}", batch_id, run, begun, tz)
 
 
-def read_counter(spark: SparkSession, path: str, output: str, hours: list[datetime] | None = None) -> DataFrame:
+def read_counter(spark: SparkSession, path: str, output: str, hours: list[datetime] | None = None,
+                 flag: str = "int") -> DataFrame:
     """A counter table, or those of its hours that begin at ``hours`` (of the table's zone).
 
     Its entries are summed; only the folders of the hours asked for are listed.
     """
-    schema = T.StructType.fromDDL(counter_schema(output))
+    schema = T.StructType.fromDDL(counter_schema(output, flag))
     if hours is None:
         rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{output}")
     else:

@@ -12,7 +12,6 @@ from clickroll.plans import jobs
 from clickroll.plans.article_queries import shown, trend_table
 from clickroll.plans.inputs import as_messages, hosts, table
 from clickroll.sources import clicks as messages
-from clickroll.streaming.jobs import read_counter
 from test_streams import same
 
 SF = "/root/testdata/sf0.001"
@@ -97,13 +96,13 @@ def test_quarantine_and_tags(spark, run):
 def test_counters_and_categories(spark, run):
     tables, _, clicks = run
     want = dashboard.location_counts(dashboard.dashboard_counts(clicks, tables.zone)).drop("first_ts")
-    same(read_counter(spark, tables.root, "location"), want)
+    same(jobs.read_counter(spark, tables, "location"), want)
     cats = spark.read.parquet(tables.path("location_by_cat")).drop("dt", "hr")
     assert cats.count() > 0
     same(cats, grouping.location_by_cat(want.where(F.col("slice") == wall(tables, DAY + timedelta(hours=4)))))
     ran = spark.read.parquet(tables.path("runs"))
     assert ran.count() == 2 and ran.distinct().count() == 1
-    hour = read_counter(spark, tables.root, "location", [DAY + timedelta(hours=3)])
+    hour = jobs.read_counter(spark, tables, "location", [DAY + timedelta(hours=3)])
     key = f"dt={DAY:%Y%m%d}/hr=03"
     assert hour.inputFiles() and all(key in f for f in hour.inputFiles())
 
