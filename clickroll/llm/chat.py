@@ -158,12 +158,9 @@ def format_conversations(rows: DataFrame, tokenizer: bytes, *, key: str = "conv_
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encoder = worker_encoder(tokenizer)
-        found = rows_of(batches, "conv", "_r", "_t")
-        while some := list(itertools.islice(found, 256)):
-            heads, bodies = [turn_head(r) for _, r, _ in some], [escape(t) for _, _, t in some]
-            ids = encoder.encode([h + b + END for h, b in zip(heads, bodies, strict=True)])
-            for (conv, r, _), head, body, i in zip(some, heads, bodies, ids, strict=True):
-                yield conv, Turn(r, head, body, len(i) // encoder.width)
+        for conv, r, t in rows_of(batches, "conv", "_r", "_t"):
+            head, body = turn_head(r), escape(t)
+            yield conv, Turn(r, head, body, len(encoder.encode(head + body + END)) // encoder.width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []

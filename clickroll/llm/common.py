@@ -17,9 +17,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# White space of the word contracts: blank and the five ASCII controls from tab to return.
-SPACES = " \t\n\x0b\x0c\r"
-_SPACE_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _ALNUM_WORDS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -54,11 +51,6 @@ def encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def ascii_lower(column: Column) -> Column:
-    """A-Z in lower case, every other character as it is."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def space_words(raw: bytes) -> list[bytes]:
     """Words between ASCII white space.
 
@@ -73,16 +65,24 @@ def alnum_words(raw: bytes) -> list[bytes]:
 
 
 class Memo(dict):
-    """Results by key, emptied when ``limit`` keys are held, so its memory is bounded."""
+    """Results by key, of which at most twice ``limit`` are held.
+
+    When ``limit`` keys are there they become the old generation, from which those
+    that come again are taken over; what was old before goes.
+    """
 
-    def __init__(self, compute: Callable, limit: int = 400_000) -> None:
+    def __init__(self, compute: Callable, limit: int = 200_000) -> None:
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.old = compute, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = self.copy()
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 

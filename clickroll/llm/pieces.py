@@ -136,7 +136,7 @@ class Codec:
 
     _UNITS = re.compile(r"\n[^ \n]*| +[^ \n]*|[^ \n]+")
 
-    def __init__(self, model: bytes, memo: int = 300_000) -> None:
+    def __init__(self, model: bytes, memo: int = 150_000) -> None:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 

@@ -28,7 +28,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import per_worker, query, rows_of, table
+from clickroll.llm.common import Memo, per_worker, query, rows_of, table
 from clickroll.session import stored, work_dir
 
 END_ID = 0
@@ -60,7 +59,7 @@ class ByteEncoder:
     # white space.  A blank belongs to what follows it, of more white space only the last one.
     _UNITS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?![^\W\d_])| ?\S+|\s+(?!\S)|\s+")
 
-    def __init__(self, blob: bytes, memo: int = 1_000_000, width: int | None = None) -> None:
+    def __init__(self, blob: bytes, memo: int = 300_000, width: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         spec = json.loads(blob)
@@ -74,8 +73,9 @@ class ByteEncoder:
         # separators 1c-1f are white space here, but not to the library
         odd = [re.escape(t["content"]) for t in spec.get("added_tokens", [])] + ["[\x1c-\x1f]"]
         self.whole = re.compile("|".join(odd))
-        self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        self.model = self.library.model
+        self.letters = byte_letters()
+        self.units = Memo(self._unit, memo)
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -84,22 +84,28 @@ class ByteEncoder:
     def kind(self) -> str:
         return "<u2" if self.width == 2 else "<u4"
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Packed ids of each text; words not seen before are encoded together."""
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        memo = self.memo
-        units = [None if not self.by_unit or self.whole.search(t) else self._UNITS.findall(t) for t in texts]
-        new = list({u for some in units if some for u in some if u not in memo})
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
-            found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            memo.update((u, self.pack(e.ids)) for u, e in zip(some, found, strict=True))
-        for text, some in zip(texts, units, strict=True):
-            if some is None:
-                yield self.pack(self.library.encode(text, add_special_tokens=False).ids)
-            else:
-                yield b"".join(map(memo.__getitem__, some))
+    def _unit(self, unit: str) -> bytes:
+        if unit[unit[0] == " ":].isalpha():
+            # a single piece, which needs no split: straight to the library's model
+            found = self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))
+            return self.pack([t.id for t in found])
+        return self.pack(self.library.encode(unit, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> bytes:
+        """Packed ids of a text."""
+        if not self.by_unit or self.whole.search(text):
+            return self.pack(self.library.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.units.__getitem__, self._UNITS.findall(text)))
+
+
+def byte_letters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for the characters from 256 on.
+    """
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 def worker_encoder(blob: bytes) -> ByteEncoder:
@@ -255,14 +261,14 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: bytes, *, key: st
         keys: list[str | None] = []
         ends = [0]
         out = None
-        for some in _few(rows_of(batches, "_k", "_t")):
+        for k, t in rows_of(batches, "_k", "_t"):
             if out is None:
                 files.create_dir(path, recursive=True)
-                out = files.open_output_stream(f"{path}/_{shard}-{attempt}.ids")
-            for (k, _), ids in zip(some, encoder.encode([t for _, t in some]), strict=True):
-                out.write(ids + end)
-                keys.append(k)
-                ends.append(ends[-1] + (len(ids) + len(end)) // encoder.width)
+                out = files.open_output_stream(f"{path}/_{shard}-{attempt}.ids", buffer_size=1 << 20)
+            ids = encoder.encode(t) + end
+            out.write(ids)
+            keys.append(k)
+            ends.append(ends[-1] + len(ids) // encoder.width)
         if out is None:
             return
         out.close()
@@ -282,19 +288,6 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: bytes, *, key: st
     return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _few(rows: Iterator[tuple], chars: int = 4 << 20) -> Iterator[list[tuple]]:
-    """Rows in lists of some megabytes of text."""
-    some, size = [], 0
-    for row in rows:
-        some.append(row)
-        size += len(row[1])
-        if size >= chars:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per text, from the files: ``key, start, n_tokens, ids_crc32``.
 

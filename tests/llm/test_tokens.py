@@ -77,7 +77,7 @@ def test_byte_ids_are_the_library_s(tokenizer):
     library, own = Tokenizer.from_file(BYTES), token_files.ByteEncoder(tokenizer)
     some = texts(5000, ["a", "b ", " ", "\n", "'s", "é", "1", "½", "　", "\x1c", "\xa0", "_", "!", "<|endoftext|>", "👍", "\r\n",
                         "Ⅷ", "\x85"]) + [t for t in ODD if t]
-    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert [np.frombuffer(own.encode(t), own.kind).tolist() for t in some] == [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
 def test_perfect_hash():
