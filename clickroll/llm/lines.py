@@ -7,6 +7,13 @@ least ``min_lines`` lines that occurs more than once in the corpus keeps its fir
 occurrence (smallest id, then position) and is cut out of the others.  Signatures find
 the candidates; the bytes of the candidates decide.
 
+The chunks are what the SQL twin of ``op6_lines`` fixes.  They find a passage only where
+boundaries happen to lie inside it.  ``cut_passages`` misses none: it looks at the
+shortest run of whole lines with over ``over_words`` words from each line on, and at the
+shortest one that ends at each line.  A repeated passage of over ``over_words`` words is
+the union of such runs that lie in it, and each run is looked up by its own content.
+Hashes find the candidates; SHA-256 of their bytes decides.
+
 Defined cases: a null text has no lines and stays null; an empty text has one, empty,
 line; rows of equal id and text are one document; a null id comes before all others;
 a text all of whose lines go becomes empty and keeps its row.
@@ -113,6 +120,105 @@ def dedup_lines(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
         F.col("_n_lines"), removed.alias("_n_removed"))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def worded_lines(lines: Column) -> Column:
+    """(no, words) of the lines that hold a word; lines are numbered from 1."""
+    counted = F.transform(lines, lambda line, i: F.struct(
+        (i + 1).alias("no"), F.regexp_count(line, F.lit(r"\S+")).alias("words")))
+    return F.filter(counted, lambda c: c["words"] > 0)
+
+
+def passage_spans(worded: Column, over_words: int) -> Column:
+    """(a, b) of the shortest runs of over ``over_words`` words that begin or end at a line.
+
+    ``a`` and ``b`` count the lines with words, from 1.
+    """
+    def spans(at: Column) -> Column:
+        starts = F.when(F.size(at) > over_words, F.sequence(F.lit(1), F.size(at) - over_words))
+
+        def edge(p: Column) -> Column:
+            last = p + over_words
+            return (p == 1) | (last == F.size(at)) | (F.get(at, p - 2) < F.get(at, p - 1)) | (
+                F.get(at, last) > F.get(at, last - 1))
+
+        runs = F.transform(F.filter(starts, edge), lambda p: F.struct(
+            F.element_at(at, p).alias("a"), F.element_at(at, p + over_words).alias("b")))
+        return F.array_distinct(runs)
+
+    # the line of each word
+    return _bound(F.flatten(F.transform(worded, lambda c, k: F.array_repeat(k + 1, c["words"]))), spans)
+
+
+def _run(of: Column, worded: Column, span: Column) -> Column:
+    first = F.element_at(worded, span["a"])["no"]
+    return F.slice(of, first, F.element_at(worded, span["b"])["no"] - first + 1)
+
+
+def removed_passages(documents: DataFrame, *, key: str = "doc_id", text: str = "text",
+                     over_words: int = 50) -> DataFrame:
+    """``(_id, _h, gone)``: the lines with words to cut, counted among these, for rows that have some.
+
+    A run stays at its first place (smallest id, then hash of the text, then line), and
+    where it overlaps that place.
+    """
+    rows = documents.select(F.col(key).alias("_id"), F.col(text).alias("_t"), F.xxhash64(text).alias("_h"))
+
+    def signed_spans(lines: Column) -> Column:
+        return _bound(F.transform(lines, lambda line: F.xxhash64(line)), lambda hashes: _bound(
+            worded_lines(lines), lambda worded: F.transform(passage_spans(worded, over_words), lambda s: F.struct(
+                s["a"].alias("a"), s["b"].alias("b"), F.xxhash64(_run(hashes, worded, s)).alias("sig")))))
+
+    signed = stored(rows.select("_id", "_h", F.explode(_bound(lines_of(F.col("_t")), signed_spans)).alias("_s"))
+                    .select("_id", "_h", "_s.*"), "runs")
+    place = F.struct("_id", "_h", "a", "b")
+    repeated = signed.groupBy("sig").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    wanted = signed.join(repeated, "sig", "left_semi").groupBy(
+        F.col("_id").alias("_i"), F.col("_h").alias("_g")).agg(F.collect_set(F.struct("a", "b")).alias("w"))
+    found = rows.dropDuplicates(["_id", "_h"]).join(
+        wanted, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")))
+
+    def digests(lines: Column) -> Column:
+        return _bound(worded_lines(lines), lambda worded: F.transform("w", lambda s: F.struct(
+            s["a"].alias("a"), s["b"].alias("b"),
+            F.unhex(F.sha2(F.array_join(_run(lines, worded, s), "\n").cast("binary"), 256)).alias("sha"))))
+
+    bodies = stored(found.select("_id", "_h", F.explode(_bound(lines_of(F.col("_t")), digests)).alias("_s"))
+                    .select("_id", "_h", "_s.*"), "run-bodies")
+    first = bodies.groupBy("sha").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    same = F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_h") == F.col("first._h"))
+    cut_out = bodies.join(first, "sha").where(~same | (F.col("a") > F.col("first.b")))
+    runs = cut_out.groupBy("_id", "_h").agg(F.collect_set(F.struct("a", "b")).alias("r"))
+    numbers = F.flatten(F.transform("r", lambda s: F.sequence(s["a"], s["b"])))
+    return runs.select("_id", "_h", F.sort_array(F.array_distinct(numbers)).alias("gone"))
+
+
+def cut_passages(documents: DataFrame, *, key: str = "doc_id", text: str = "text", over_words: int = 50) -> DataFrame:
+    """The rows of ``documents`` without the whole lines that stand, as a passage of over
+    ``over_words`` words, at an earlier place; lines without words between two of them go too."""
+    gone = removed_passages(documents, key=key, text=text, over_words=over_words).select(
+        F.col("_id").alias("_i"), F.col("_h").alias("_g"), "gone")
+    own = carried(documents, _key=F.col(key), _t=F.col(text), _h=F.xxhash64(text))
+    both = own.join(gone, F.col("_key").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
+
+    def rest(lines: Column, worded: Column) -> Column:
+        def no(k: Column) -> Column:
+            return F.element_at(worded, k)["no"]
+
+        cut = F.flatten(F.transform("gone", lambda k, m: F.when(
+            (m > 0) & (F.get(F.col("gone"), m - 1) == k - 1), F.sequence(no(F.greatest(k - 1, F.lit(1))) + 1, no(k)),
+        ).otherwise(F.array(no(k)))))
+        kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(lines)), cut), lambda i: F.element_at(lines, i))
+        return F.when(F.size("gone") == F.size(worded), F.lit("")).otherwise(F.array_join(kept, "\n"))
+
+    left = _bound(lines_of(F.col("_t")), lambda lines: _bound(worded_lines(lines), lambda worded: rest(lines, worded)))
+    new_text = F.when(F.col("gone").isNull(), F.col("_t")).otherwise(left)
+    return both.select(*[new_text.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in documents.columns])
+
+
 _SQL = f"""
 WITH lines AS (
   SELECT doc_id, no, line, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM (

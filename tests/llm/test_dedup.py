@@ -239,3 +239,49 @@ def test_blocks_hold_every_window_once():
 def test_settled_rows_have_an_earlier_document():
     keys, ids = np.array([1, 1, 2, 1], np.uint64), np.array([5, 3, 1, 3])
     assert substrings._settle([keys], ids).tolist() == [True, False, False, False]
+
+
+def _brute_passages(rows, over):
+    """Lines with words in some run of over ``over`` words that stands at an earlier, not overlapping place."""
+    first, left = {}, {}
+    for doc, text in sorted(rows):
+        all_lines = text.split("\n")
+        gone = set()
+        for a in range(len(all_lines)):
+            for b in range(a, len(all_lines)):
+                run = all_lines[a:b + 1]
+                if not run[0].split() or not run[-1].split() or sum(len(x.split()) for x in run) <= over:
+                    continue
+                at = first.setdefault("\n".join(run), (doc, b))
+                if at[0] != doc or a > at[1]:
+                    gone.update(range(a, b + 1))
+        kept = [i for i, x in enumerate(all_lines) if x.split() and i not in gone]
+        left[doc] = [all_lines[i] for i in kept]
+    return left
+
+
+def test_passages_are_cut_wherever_they_stand(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+
+    def line(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    planted = [[line(rnd.randint(9, 40)) for _ in range(rnd.randint(2, 6))] for _ in range(25)]
+    planted = [p for p in planted if sum(len(x.split()) for x in p) > 50] + [[line(60)], [line(30), "", line(30)]]
+    rows = []
+    for i in range(120):
+        body = [line(rnd.randint(0, 30)) for _ in range(rnd.randint(2, 12))]
+        at = rnd.randint(0, len(body))
+        rows.append((i, "\n".join(body[:at] + planted[i % len(planted)] + body[at:])))
+    rows += [(200, rows[3][1]), (201, "\n".join([line(10)] * 40))]
+    out = dict(lines.cut_passages(frame(spark, rows)).select("doc_id", "text").collect())
+    assert {i: [x for x in t.split("\n") if x.split()] for i, t in out.items()} == _brute_passages(rows, 50)
+    late = [(i, planted[i % len(planted)]) for i in range(len(planted), 120)]
+    assert all(x not in out[i].split("\n") for i, p in late for x in p if x)
+    assert out[200] == ""
+    odd = [(1, None), (2, ""), (None, "a\nb"), (3, "\n\n")]
+    assert sorted(lines.cut_passages(frame(spark, odd)).select("doc_id", "text").collect(), key=str) == sorted(odd, key=str)
+    assert lines.cut_passages(frame(spark, [])).count() == 0
+    plan = lines.cut_passages(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
