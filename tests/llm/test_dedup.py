@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from clickroll.llm import lines, simhash, substrings
+from clickroll.llm import lines, similar, simhash, substrings
 from clickroll.llm.components import components
 
 DOCS = "doc_id long, text string, _id string, label int, gone string"
@@ -285,3 +285,41 @@ def test_passages_are_cut_wherever_they_stand(spark):
     assert lines.cut_passages(frame(spark, [])).count() == 0
     plan = lines.cut_passages(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_similar_documents_are_found_down_to_the_threshold(spark):
+    rnd = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(60):
+        base = [rnd.choice(words) for _ in range(rnd.randint(4, 400))]
+        for changes in (0, 1, 2, 4, 8, 12):
+            text = list(base)
+            for _ in range(changes):
+                text[rnd.randrange(len(text))] = rnd.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    rows += [(900, None), (901, ""), (902, "one two"), (903, "ONE  two"), (None, rows[0][1]), (10, rows[10][1])]
+    sets = [set(similar.shingle_set((t or "").encode(), 5).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    first = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            first[find(i)] = min(first.get(find(i), k), k)
+    got = sorted((r._key, r.component_id) for r in similar.similar_groups(frame(spark, rows)).collect() if r._key is not None)
+    assert got == sorted((k, first[find(i)]) for i, (k, _) in enumerate(rows) if k is not None)
+    kept = [r.doc_id for r in similar.unique_documents(frame(spark, rows)).collect()]
+    assert sorted(k for k in kept if k is not None) == sorted(first.values()) and kept.count(None) == 1
+    assert similar.unique_documents(frame(spark, [])).count() == 0
+    # at four bits of SimHash most of these pairs are lost
+    old = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(old[k] != c for k, c in got) > 10
