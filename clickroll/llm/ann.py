@@ -10,12 +10,13 @@ candidates ends a search.
 
 Vectors are dealt into blocks of some thousand by a hash of their id.  Every block has
 its own arrays, every query meets every block, and the block's best are merged by query.
-Equal vectors are one in the arrays, with their k+1 smallest ids: no query returns more.
+Equal vectors are one in the arrays, with their k+1 smallest distinct ids: no query returns more.
 
 Defined cases: vectors that are null, empty, zero or hold a null or a non-finite
 component, and rows without an id, take no part, neither as query nor as candidate;
 vectors are compared with those of their own length; ties go to the smaller id; rows
-that repeat an id are rows of their own, but a query never returns its own id.
+that repeat both id and vector are one candidate, rows of one id with other vectors are
+candidates of their own, and a query never returns its own id.
 """
 
 from __future__ import annotations
@@ -126,13 +127,20 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, *, key: str = "vec_
     rows = rows.where(F.col("id").isNotNull()).where(usable("v")).withColumn("h", F.xxhash64("v"))
     # per distinct vector the k+1 smallest ids: small arrays, merged before the shuffle as well
     smallest = _smallest_ids(rows, k + 1)
-    distinct = stored(smallest, "vectors")
+    # ids may be shared by vectors, so each vector gets a number of its own, fixed by being written
+    distinct = stored(smallest.withColumn("no", F.monotonically_increasing_id()), "vectors")
     n_blocks = max(1, -(-distinct.count() // settings.block_rows))
     block = F.pmod(F.xxhash64("rep"), F.lit(n_blocks)).cast("int")
-    held = distinct.select(F.size("v").alias("dim"), block.alias("block"), F.lit(0).alias("kind"), "rep", "ids", "v")
-    asking = distinct.where("asks").select(
+    held = distinct.select(F.size("v").alias("dim"), block.alias("block"), F.lit(0).alias("kind"), "rep", "ids", "v",
+                           F.lit(0).alias("want"), "no")
+    # besides k others, a query may meet every vector of its own id
+    several = rows.select("id", "h", "v").distinct().groupBy("id").agg(F.count("*").alias("m")).where("m > 1")
+    more = rows.where("asks").join(several, "id").groupBy(F.col("h").alias("h3"), F.col("v").alias("v3")).agg(
+        F.max("m").cast("int").alias("m"))
+    wanting = distinct.where("asks").join(more, (F.col("h") == F.col("h3")) & (F.col("v") == F.col("v3")), "left")
+    asking = wanting.select(
         F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-        F.lit(1).alias("kind"), "rep", "ids", "v")
+        F.lit(1).alias("kind"), "rep", "ids", "v", (F.lit(k) + F.coalesce("m", F.lit(1))).alias("want"), "no")
     dealt = held.union(asking).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind", "rep")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,23 +167,23 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, *, key: str = "vec_
                 if index is None:
                     index = Block(np.concatenate(reps), np.concatenate(parts), settings)
                 out = []
-                for rep, v in zip(some.column(3).to_pylist(), rows_, strict=True):
-                    at, cosines = index.nearest(v, k + 1)
-                    out += [(rep, int(index.ids[i]), ids[i], float(c)) for i, c in zip(at, cosines, strict=True)]
+                for want, no, v in zip(some.column(6).to_pylist(), some.column(7).to_pylist(), rows_, strict=True):
+                    at, cosines = index.nearest(v, want)
+                    out += [(no, want, int(index.ids[i]), ids[i], float(c)) for i, c in zip(at, cosines, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (
-                        pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()), strict=True)],
-                    names=["q", "rep", "ids", "score"])
+                        pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.float64()), strict=True)],
+                    names=["q", "want", "rep", "ids", "score"])
 
-    best = dealt.mapInArrow(search, "q long, rep long, ids array<long>, score double")
-    # k+1 rows of each block for each vector that asks; the k+1 best of them hold every answer
-    found = best.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct(
-        (-F.col("score")).alias("s"), "rep", "ids"))), 1, k + 1).alias("f"))
+    best = dealt.mapInArrow(search, "q long, want int, rep long, ids array<long>, score double")
+    # the best of each block for each vector that asks; the ``want`` best of them hold every answer
+    found = best.groupBy("q", "want").agg(F.slice(F.array_sort(F.collect_list(F.struct(
+        (-F.col("score")).alias("s"), "rep", "ids"))), 1, F.col("want")).alias("f"))
     ranked = found.select("q", F.array_sort(F.flatten(F.transform(
         "f", lambda x: F.transform(x["ids"], lambda i: F.struct(x["s"].alias("s"), i.alias("id")))))).alias("f"))
-    reps = distinct.where("asks").select(F.col("h").alias("h2"), F.col("v").alias("v2"), "rep")
-    asked = rows.where("asks").join(reps, (F.col("h") == F.col("h2")) & (F.col("v") == F.col("v2"))).select("id", "rep")
-    answers = asked.join(ranked, F.col("rep") == F.col("q")).select(F.col("id").alias("query_id"), F.posexplode(F.slice(
+    reps = distinct.where("asks").select(F.col("h").alias("h2"), F.col("v").alias("v2"), "no")
+    asked = rows.where("asks").join(reps, (F.col("h") == F.col("h2")) & (F.col("v") == F.col("v2"))).select("id", "no")
+    answers = asked.join(ranked, F.col("no") == F.col("q")).select(F.col("id").alias("query_id"), F.posexplode(F.slice(
         F.filter("f", lambda x: x["id"] != F.col("id")), 1, k)).alias("p", "m"))
     return answers.select("query_id", (F.col("p") + 1).alias("rank"), F.col("m.id").alias("match_id"),
                           (-F.col("m.s")).alias("score"))
@@ -184,8 +192,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, *, key: str = "vec_
 def _smallest_ids(rows: DataFrame, n: int) -> DataFrame:
     """Distinct vectors with their ``n`` smallest ids; partial lists hold ``n`` ids, so no group is large."""
     # a limit on the rank is applied before the shuffle too
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= n)
-    few = ranked.groupBy("h", "v").agg(F.min("id").alias("rep"), F.array_sort(F.collect_set("id")).alias("ids"))
+    ranked = rows.select("h", "v", "id").distinct().withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= n)
+    few = ranked.groupBy("h", "v").agg(F.min("id").alias("rep"), F.array_sort(F.collect_list("id")).alias("ids"))
     asks = rows.where("asks").select(F.col("h").alias("h1"), F.col("v").alias("v1")).distinct()
     return few.join(asks, (F.col("h") == F.col("h1")) & (F.col("v") == F.col("v1")), "left").select(
         "h", "v", "rep", "ids", F.col("h1").isNotNull().alias("asks"))

@@ -155,6 +155,21 @@ def test_neighbours(spark):
     assert empty.count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    """An id repeated more than k+1 times hides no other; an id of several vectors mixes no queries."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.6, 0.8, 0.0]
+    near = [[0.0, 1.0, 0.01 * i] for i in range(1, 5)]
+    rows = [(7, a)] * 9 + [(9, a), (20, c)] + [(30, a), (30, b)] + [(30, x) for x in near] + [(40, c)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id").isin(9, 30), k=3).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.match_id, round(r.score, 6)))
+    assert sorted(got[9]) == [(1, 7, 1.0), (2, 30, 1.0), (3, 20, 0.6)]
+    ranks = sorted(got[30])
+    assert [m for r, m, _ in ranks if r == 1].count(7) == 1 and [m for r, m, _ in ranks if r == 1].count(20) == 5
+    assert all([r for r, _, _ in ranks].count(n) == 6 for n in (1, 2, 3)) and all(m != 30 for _, m, _ in ranks)
+
+
 def test_search_ends_with_all_vectors():
     """With no close vector the windows widen to everything, and the answer is exact."""
     rng = np.random.default_rng(7)
