@@ -1,11 +1,11 @@
-"""Substring dedup by relative Lempel-Ziv parsing with sampled anchors.
-
-The reference is all documents with a smaller id.  A text is cut at anchors: of each window
-of ``WINDOW`` words, the ``GRAM`` words with the smallest hash.  The windows that share an
-anchor form a block.  A block that stands in a reference document as a whole is a factor,
-and factors that touch grow into one.  At the boundaries of a factor, where the context
-of an anchor differs between documents, its windows are looked up one by one.  The words of
-every window found are the duplicate spans.
+"""Substring dedup by an index of windows under sampled anchors (winnowing).
+
+This is no relative Lempel-Ziv parse: nothing is factored greedily, and no longest match
+is looked for.  The reference of a text is all documents with a smaller id.  A text is cut
+at anchors: of each window of ``WINDOW`` words, the ``GRAM`` words with the smallest hash.
+The windows that share an anchor form a block.  Blocks are compared as a whole; where the
+context of an anchor differs between documents, their windows are looked up one by one.
+The words of every window found are the duplicate spans, merged where they touch.
 
 An anchor depends on its window alone, so equal windows have equal anchors, and no window is
 missed: anchors that only one document holds need no further look, which leaves a
