@@ -47,7 +47,7 @@ BITMAP_BITS = (1 << 25, 1 << 27)
 _TOKEN = re.compile(rb"[^ \t\n]+|\n")
 _PIECE_ENDS = bytes.maketrans(b".,;:!?\r\x0b\x0c", b"\n" * 9)
 _SLICE = 1 << 20
-_BUFFER = 1 << 20
+_BUFFER = 1 << 18
 _STRIPES = "lang string, p1 string, p2 string, nexts array<string>, counts array<bigint>"
 
 
@@ -75,6 +75,7 @@ class _Stripes:
         # number 0 is the end of a piece
         self.texts: list[bytes] = [b""]
         self.numbers = {b"\n": 0}
+        self.hashed = np.zeros(0, np.uint64)
         self.waiting: list[np.ndarray] = [np.zeros(1, np.int64)]
         self.size = 0
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -93,13 +94,15 @@ class _Stripes:
             self.size += len(run)
             if self.size >= _BUFFER:
                 self._count()
+                if len(self.keys) + len(self.texts) > self.held:
+                    yield from self.flush()
         self.waiting.append(np.zeros(1, np.int64))
-        if len(self.keys) + len(self.texts) > self.held:
-            yield from self.flush()
 
     def _hashes(self) -> np.ndarray:
-        found = [xxhash.xxh64_intdigest(t, self.seed) for t in self.texts]
-        return np.array(found, np.uint64)
+        new = self.texts[len(self.hashed):]
+        found = np.fromiter((xxhash.xxh64_intdigest(t, self.seed) for t in new), np.uint64, len(new))
+        self.hashed = np.concatenate([self.hashed, found])
+        return self.hashed
 
     def _count(self) -> None:
         """Count what is waiting; the last words wait on, for what may follow them."""
@@ -200,7 +203,7 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def stripes(documents: DataFrame, depth: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, *,
-            text: str = "text", lang: str = "lang", held: int = 1_000_000) -> DataFrame:
+            text: str = "text", lang: str = "lang", held: int = 300_000) -> DataFrame:
     """``(lang, p1, p2, next, count)``: the merged stripes of ``depth`` words.
 
     ``words`` and ``pairs`` are bitmaps of what is followed.  ``held`` entries of a task's
@@ -236,7 +239,7 @@ def _totals(grown: DataFrame, *prefix: str) -> DataFrame:
 
 
 def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP,
-                 subsumed: int = SUBSUMED, bits: tuple[int, int] = BITMAP_BITS, held: int = 1_000_000) -> DataFrame:
+                 subsumed: int = SUBSUMED, bits: tuple[int, int] = BITMAP_BITS, held: int = 300_000) -> DataFrame:
     """The ``top`` phrases of two and three words of each language, best first.
 
     Columns: ``lang, rank, phrase, a, l, r, n, score`` as the contract of ``op13`` has them.
