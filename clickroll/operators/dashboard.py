@@ -61,11 +61,6 @@ def location_counts(keyed: DataFrame) -> DataFrame:
     return _first_cat(rows, ["slice", "article_id", "host", "is_india", "location"])
 
 
-def merge_counter(rows: DataFrame, output: str) -> DataFrame:
-    """Entries of a counter table added up per key."""
-    return _first_cat(rows, COUNTERS[output][1])
-
-
 # Output codes of the dashboard job.
 OUTPUTS = {1: "referer", 2: "response", 3: "location"}
 

@@ -142,14 +142,14 @@ CAST(sum(dnld_time) AS BIGINT) AS tot_tm, arg_min({{'c': cat}}, (ts, event_id)).
 
 def counter(spark, sf_dir, output: str) -> DataFrame:
     """Counter table built from three batches, one of them delivered twice."""
-    from clickroll.streaming.jobs import read_counter, write_counter
+    from clickroll.streaming.jobs import counter_frames, counter_log, read_counter
 
-    path = work_dir(spark, "dashboard")
+    log = counter_log(work_dir(spark, "dashboard"), [output])
     source = clicks(spark, sf_dir)
     for batch in (0, 1, 1, 2):
         part = source.where(F.col("event_id") % 3 == batch)
-        write_counter(dashboard.dashboard_counts(part), path, output, batch)
-    return read_counter(spark, path, output).withColumn("slice", epoch_seconds("slice"))
+        log.write(spark, counter_frames(dashboard.dashboard_counts(part), [output]), batch)
+    return read_counter(spark, log, output).withColumn("slice", epoch_seconds("slice"))
 
 
 @query("upsert_referer", duck(duck_counter("referer")))

@@ -21,6 +21,7 @@ from clickroll.plans.registry import query
 from clickroll.schemas import ARTICLE_KEYS, OFFSET_RANGE, epoch_seconds
 from clickroll.session import state_partitions, stored, work_dir
 from clickroll.sinks import append, ledgers
+from clickroll.sinks.commits import CommitLog
 from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
 from clickroll.sources.text import file_lines, text_column_lines
@@ -43,15 +44,14 @@ def run_appended(stream: DataFrame, label: str, transform=None, schema=None) ->
     with state_partitions(spark, _state(spark)):
         query_ = append.append_stream(stream, f"{base}/table", f"{base}/checkpoint", transform)
     query_.awaitTermination()
-    out = append.read_batches(spark, f"{base}/table", schema or stream.schema)
-    return out.drop("batch_id", "run")
+    return append.read_appended(spark, f"{base}/table", schema or stream.schema)
 
 
 def run_latest(rows: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """Run a stateful stream to its end; the last version of each row."""
     spark = rows.sparkSession
     base = work_dir(spark, label)
-    jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)).awaitTermination()
+    jobs.latest_stream(rows, f"{base}/table", f"{base}/checkpoint", keys, partitions=_state(spark)).awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", keys, rows.schema)
 
 
@@ -125,7 +125,7 @@ def stream_running_count(spark, sf_dir):
     jobs.running_count_stream(
         words.split_words(lines), seed, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)
     ).awaitTermination()
-    return jobs.read_running_count(spark, f"{base}/table")
+    return jobs.read_latest(spark, f"{base}/table", ["word"], seed.schema)
 
 
 @query("stream_restart", duck('SELECT host, count(*) AS "count" FROM clicks GROUP BY 1'))
@@ -138,7 +138,7 @@ def stream_restart(spark, sf_dir):
         events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{base}/in")
         stream = as_clicks(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
         counts = stream.groupBy("host").agg(F.count(F.lit(1)).alias("count"))
-        jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint", partitions=_state(spark)).awaitTermination()
+        jobs.latest_stream(counts, f"{base}/table", f"{base}/checkpoint", ["host"], partitions=_state(spark)).awaitTermination()
     return jobs.read_latest(spark, f"{base}/table", ["host"], counts.schema)
 
 
@@ -272,7 +272,9 @@ def sink_offset_ledger(spark, sf_dir):
         F.col("event_id").alias("offset"),
     )
     jobs.offset_stream(source, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return ledgers.latest_ranges(append.read_batches(spark, f"{base}/table", OFFSET_RANGE))
+    noted = CommitLog(f"{base}/table", {}).offsets(spark)
+    names = ("topic", "partition", "from_offset", "until_offset", "description")
+    return spark.createDataFrame(noted, OFFSET_RANGE).select(*names)
 
 
 @query(
@@ -322,9 +324,9 @@ def sink_fan_out(spark, sf_dir):
     stream.awaitTermination()
     keys = {"referer": F.col("referer"), "response": F.col("grp"),
             "location": F.concat_ws("/", F.col("is_india").cast("string"), "location")}
-    out = None
+    out, log = None, jobs.counter_log(base)
     for output, key in keys.items():
-        rows = jobs.read_counter(spark, base, output).select(
+        rows = jobs.read_counter(spark, log, output).select(
             F.lit(output).alias("output"), epoch_seconds("slice").alias("slice"), "article_id", "host",
             key.alias("key"), "count", "tot_tm", "cat",
         )

@@ -91,3 +91,16 @@ def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+@contextmanager
+def large_state(spark: SparkSession) -> Iterator[None]:
+    """Settings a stream with state in RocksDB is started with; the session has its own again behind it."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE_CONF}
+    for key, value in LARGE_STATE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

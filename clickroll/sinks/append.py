@@ -11,6 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.functions.slices import day_key
 from clickroll.sinks import files
+from clickroll.sinks.commits import CommitLog, Kind
+
+
+ROWS = "rows"
+"""Name of the one table in the log of an appended table."""
 
 
 def run_of(batch: DataFrame) -> str:
@@ -62,39 +67,23 @@ def read_slices(spark: SparkSession, path: str, starts: list[datetime], schema:
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*held)
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, run: str = "0", ts_col: str | None = None,
-                tz: str | None = None) -> None:
-    """One micro-batch to a folder of its own; writing it again replaces it.
+def append_log(path: str, zone: str | None = None) -> CommitLog:
+    """A table that batches are appended to."""
+    return CommitLog(path, {ROWS: Kind(zone)})
 
-    With ``ts_col`` the folder lies below day and hour, so that a scan of some
-    hours need not list the batches of the others.
-    """
-    if ts_col is None:
-        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
-        return
-    by = _partitions(ts_col, tz, hourly=True)
-    (
-        batch.withColumns({**by, "run": F.lit(run), "batch_id": F.lit(batch_id)})
-        .hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, "run", "batch_id")
-        .parquet(path)
-    )
 
-
-def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All batches of a table, with their ``run`` and ``batch_id``."""
-    numbered = T.StructType([*schema.fields, T.StructField("run", T.StringType()),
-                             T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(numbered).parquet(path)
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows of such a table."""
+    return append_log(path).read(spark, ROWS, schema)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str, transform=None,
                   trigger: dict | None = None) -> StreamingQuery:
     """Start a stream that appends each micro-batch, after ``transform``, to a table."""
+    log = append_log(path)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(transform(batch) if transform else batch, path, batch_id, run_of(batch))
+        log.write(batch.sparkSession, {ROWS: transform(batch) if transform else batch}, batch_id, run_of(batch))
 
     return (
         stream.writeStream.foreachBatch(write)

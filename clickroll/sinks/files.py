@@ -1,10 +1,10 @@
-"""What lies below a folder of a table, on any file system Spark can reach."""
+"""Folders and small files of a table, on any file system Spark can reach."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import json
 
-MARKER = "_SUCCESS"
+from pyspark.sql import SparkSession
 
 
 def _folder(spark: SparkSession, path: str):
@@ -17,16 +17,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
-def finished(spark: SparkSession, path: str) -> list[str]:
-    """Paths below ``path``, relative to it, of the folders whose write was finished: one listing."""
+def names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and times (milliseconds) of what lies right below a folder: one listing."""
     fs, root = _folder(spark, path)
     if not fs.exists(root):
         return []
-    top = fs.resolvePath(root).toUri().getPath()
-    files = fs.listFiles(root, True)
-    found = []
-    while files.hasNext():
-        at = files.next().getPath()
-        if at.getName() == MARKER:
-            found.append(at.getParent().toUri().getPath()[len(top):].strip("/"))
-    return sorted(found)
+    return sorted((f.getPath().getName(), f.getModificationTime()) for f in fs.listStatus(root))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; one that is not there does no harm."""
+    fs, root = _folder(spark, path)
+    fs.delete(root, True)
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """Write a small file that is there as a whole or not at all; one of that name must not be there."""
+    fs, root = _folder(spark, path)
+    part = root.suffix(".part")
+    out = fs.create(part, True)
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    if fs.exists(root) or not fs.rename(part, root):
+        raise FileExistsError(path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    fs, root = _folder(spark, path)
+    source = fs.open(root)
+    try:
+        return json.loads(bytes(source.readAllBytes()))
+    finally:
+        source.close()

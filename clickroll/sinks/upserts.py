@@ -1,34 +1,25 @@
 """Counters with insert-or-add semantics, kept as a log of deltas.
 
-A micro-batch writes what it adds to the counters into a folder of its own, named by
-its run and its number.  A run is what shares a checkpoint: a stream on a new checkpoint
-counts its batches from 0 again and is another run.  The table is the sum over the
-folders: counts add up, tag lists unite, and the attributes are those of the earliest
-entry.  A batch that is retried replaces its folder, so nothing is counted twice, and no
-row is ever updated in place.
-
-``compact`` folds batches into a segment, and lists which ones.  A batch is left out by
-readers only if a segment lists it, so late and older batches count whenever they come.
-Readers take finished folders only, a folder being finished once its success marker is
-there; a segment counts once its list is finished.
+A micro-batch writes what it adds to the counters as a batch of a commit log.  The table is
+the sum over all entries: counts add up, tag lists unite, and the attributes are those of
+the earliest entry.  A batch that is retried replaces what it wrote, so nothing is counted twice, and no
+row is ever updated in place.  A run is what shares a checkpoint: a stream on a new checkpoint
+counts its batches from 0 again and is another run.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickroll.sinks import files
+from clickroll.sinks.commits import CommitLog, Kind
 
-_BATCH = re.compile(r"run=([^/]+)/batch_id=(\d+)$")
-_SEGMENT = re.compile(r"seg=(\d+)$")
-
-Batch = tuple[str, int]
-"""(run, batch number)"""
+ROWS = "rows"
+"""Name of the one table in the log of an upsert table."""
 
 
 @dataclass(frozen=True)
@@ -36,7 +27,7 @@ class UpsertTable:
     """A counter table: its keys, added columns, united columns, first-seen ones.
 
     ``order`` is the column first-seen is decided by; the log adds run and batch
-    number where a table has none.
+    number where a table has none.  ``zone`` is a key that holds times, by which readers prune.
     """
 
     path: str
@@ -45,6 +36,7 @@ class UpsertTable:
     firsts: list[str] = field(default_factory=list)
     sets: list[str] = field(default_factory=list)
     order: str | None = None
+    zone: str | None = None
 
     # --- entries -------------------------------------------------------
     def _fold(self, entries: DataFrame) -> DataFrame:
@@ -67,7 +59,7 @@ class UpsertTable:
         folded = rows.groupBy(*self.keys).agg(*aggs)
         return folded.select(*self.keys, *self.sums, *self.sets, "_first.*")
 
-    def _entry(self, deltas: DataFrame, batch_id: int, run: str) -> DataFrame:
+    def _entry(self, deltas: DataFrame, run: str, batch_id: int) -> DataFrame:
         order = F.col(self.order) if self.order else F.lit(None)
         return deltas.select(
             *self.keys, *self.sums, *self.sets, *self.firsts,
@@ -76,76 +68,32 @@ class UpsertTable:
                      F.lit(run).alias("run"), F.lit(batch_id).cast("bigint").alias("batch")).alias("_order"),
         )
 
-    # --- folders -------------------------------------------------------
-    def _state(self, spark: SparkSession) -> tuple[list[int], set[Batch], list[Batch]]:
-        """Segments in use, the batches they list, and the finished batches they do not."""
-        lists = [f"{self.path}/folds/{n}" for n in files.finished(spark, f"{self.path}/folds")]
-        noted = spark.read.schema("seg long, run string, batch_id long, replaces long").parquet(*lists).collect() if lists else []
-        gone = {r.replaces for r in noted if r.replaces is not None}
-        live = sorted({r.seg for r in noted} - gone)
-        folded = {(r.run, r.batch_id) for r in noted if r.seg in live and r.run is not None}
-        found = [m for n in files.finished(spark, f"{self.path}/batches") if (m := _BATCH.search(n))]
-        return live, folded, sorted({(m[1], int(m[2])) for m in found} - folded)
+    @property
+    def kind(self) -> Kind:
+        """The table as one of several of a commit log."""
+        return Kind(self.zone, self._entry, self._fold, lambda entries: self._fold(entries).drop("_order"))
+
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.path, {ROWS: self.kind})
 
     # --- public --------------------------------------------------------
-    def upsert(self, deltas: DataFrame, batch_id: int, run: str = "0") -> None:
-        """Add a batch's deltas.  A batch that a segment lists cannot be written again: an error."""
-        if (run, batch_id) in self._state(deltas.sparkSession)[1]:
-            raise ValueError(f"batch {batch_id} of run {run} was folded already in {self.path}")
-        self._entry(deltas, batch_id, run).write.mode("overwrite").parquet(
-            f"{self.path}/batches/run={run}/batch_id={batch_id}"
-        )
+    def upsert(self, deltas: DataFrame, batch_id: int, run: str = "0", last: int | None = None) -> None:
+        """Add a batch's deltas, or those of the batches from ``batch_id`` to ``last`` as one.
+
+        A batch that was folded cannot be written again: an error.
+        """
+        self.log.write(deltas.sparkSession, {ROWS: deltas}, batch_id, run, last)
 
-    def _read(self, spark: SparkSession, segments: list[int], batches: list[Batch]) -> DataFrame | None:
-        folders = [f"{self.path}/segments/seg={s}" for s in segments]
-        folders += [f"{self.path}/batches/run={r}/batch_id={b}" for r, b in batches]
-        if not folders:
-            return None
-        # every folder is a table root, so "batch_id=3" does not become a column
-        schema = spark.read.parquet(folders[0]).schema
-        frames = spark.read.schema(schema).option("recursiveFileLookup", "true")
-        return frames.parquet(*folders)
-
-    def read(self, spark: SparkSession, before: int | None = None,
-             empty: T.StructType | None = None, run: str = "0") -> DataFrame:
+    def read(self, spark: SparkSession, before: int | None = None, empty: T.StructType | None = None, run: str = "0",
+             start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Current rows of the table, or those without the batches of ``run`` from ``before`` on.
 
-        ``empty`` is the schema to return no rows with while nothing is written.
+        ``empty`` is the schema to return no rows with while nothing is written.  With ``start``
+        and ``end`` (UTC) only folders with rows of that time are opened.
         """
-        segments, folded, batches = self._state(spark)
-        if before is not None:
-            if any(r == run and b >= before for r, b in folded):
-                raise ValueError(f"batches of run {run} from {before} on were folded already in {self.path}")
-            batches = [(r, b) for r, b in batches if r != run or b < before]
-        entries = self._read(spark, segments, batches)
-        if entries is None:
-            if empty is None:
-                raise ValueError(f"no finished batch in {self.path}")
-            return spark.createDataFrame([], empty)
-        return self._fold(entries).drop("_order")
+        return self.log.read(spark, ROWS, empty, start, end, before, run)
 
     def compact(self, spark: SparkSession, everything: bool = False, keep: int = 0) -> int | None:
-        """Fold the open batches into a new segment; how many entries went in, if any did.
-
-        The newest ``keep`` batches of each run stay open, since a stream may have to
-        write its last one again.  With ``everything`` the older segments are folded in
-        as well.  Nothing is deleted: what a segment covers is no longer read, and may
-        be removed by its owner.
-        """
-        segments, folded, batches = self._state(spark)
-        newest = {r: sorted(b for q, b in batches if q == r)[-keep:] if keep else [] for r, _ in batches}
-        batches = [(r, b) for r, b in batches if b not in newest[r]]
-        old = segments if everything else []
-        if len(batches) + len(old) < 2:
-            return None
-        tried = files.finished(spark, f"{self.path}/segments")
-        number = 1 + max([-1, *(int(m[1]) for n in tried if (m := _SEGMENT.search(n)))])
-        self._fold(self._read(spark, old, batches)).write.mode("overwrite").parquet(
-            f"{self.path}/segments/seg={number}"
-        )
-        noted = [(number, r, b, None) for r, b in batches]
-        if everything:
-            noted += [(number, r, b, None) for r, b in sorted(folded)] + [(number, None, None, s) for s in old]
-        spark.createDataFrame(noted, "seg long, run string, batch_id long, replaces long").coalesce(1).write.mode(
-            "overwrite").parquet(f"{self.path}/folds/seg={number}")
-        return len(batches) + len(old)
+        """Fold the open batches into a segment; how many entries went in, if any did."""
+        return self.log.fold(spark, keep, everything)

@@ -9,19 +9,21 @@ written with its batch number; the table is the last version of each row
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Iterator
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from clickroll.operators.articles import as_counts, merge_article_rows
-from clickroll.operators.dashboard import COUNTERS, OUTPUTS, dashboard_counts, merge_counter
-from clickroll.session import state_partitions
-from clickroll.sinks.append import observed, read_batches, read_slices, run_of, write_batch
-from clickroll.sinks.files import exists
+from clickroll.operators.dashboard import COUNTERS, OUTPUTS, dashboard_counts
+from clickroll.session import large_state, state_partitions
+from clickroll.sinks.append import ROWS, observed, run_of
+from clickroll.sinks.commits import CommitLog, Kind
 from clickroll.sinks.ledgers import offset_ranges
+from clickroll.sinks.upserts import UpsertTable
 
 # Seconds between micro-batches, per job interval.
 TRIGGER_SECONDS = {"MINUTE": 20, "HOUR": 3600, "WEEK": 604800, "MONTH": 2592000}
@@ -34,16 +36,37 @@ def trigger_for(interval: str | None) -> dict:
     return {"processingTime": f"{TRIGGER_SECONDS[interval]} seconds"}
 
 
-def latest_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "update",
-                  trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
-    """Write every changed row of a stateful stream under its batch number.
+def latest_log(path: str, keys: list[str]) -> CommitLog:
+    """A table of versions of rows, of which the last one of each key counts."""
+    def merge(entries: DataFrame) -> DataFrame:
+        values = [c for c in entries.columns if c not in (*keys, "_batch")]
+        last = F.max(F.struct("_batch", *values)).alias("_v")
+        if any(isinstance(entries.schema[c].dataType, T.MapType) for c in values):
+            last = F.max_by(F.struct("_batch", *values), "_batch").alias("_v")
+        return entries.groupBy(*keys).agg(last).select(*keys, *[F.col("_v")[c].alias(c) for c in (*values, "_batch")])
+
+    return CommitLog(path, {ROWS: Kind(
+        # a seed comes before all batches
+        entry=lambda rows, run, batch: rows.withColumn("_batch", F.lit(-1 if run == SEED else batch).cast("bigint")),
+        merge=merge, rows=lambda entries: merge(entries).drop("_batch"))})
+
+
+def latest_stream(rows: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update",
+                  trigger: dict | None = None, partitions: int | None = None, fold_at: int = 32) -> StreamingQuery:
+    """Write every changed row of a stateful stream as a version of its key.
 
     ``partitions`` is the number of its state partitions, which it keeps for good.  The
     table holds the changes of one run: on a new checkpoint the state starts anew,
-    and so should the table.
+    and so should the table.  Every ``fold_at`` batches old versions are folded away, so
+    the table grows with its keys and not with its batches.
     """
+    log = latest_log(path, keys)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, run_of(batch))
+        spark = batch.sparkSession
+        log.write(spark, {ROWS: batch}, batch_id, run_of(batch))
+        if batch_id % fold_at == fold_at - 1:
+            log.fold(spark, keep=1)
 
     with state_partitions(rows.sparkSession, partitions):
         return (
@@ -57,10 +80,8 @@ def latest_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "upda
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], schema) -> DataFrame:
     """Last version of each row that ``latest_stream`` wrote."""
-    values = [f.name for f in schema.fields if f.name not in keys]
-    log = read_batches(spark, path, schema)
-    last = F.max_by(F.struct(*values), "batch_id").alias("_v")
-    return log.groupBy(*keys).agg(last).select(*keys, "_v.*")
+    names = [f.name for f in schema.fields]
+    return latest_log(path, keys).read(spark, ROWS, schema).select(*names)
 
 
 def article_5min_stream(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -79,78 +100,116 @@ def windowed_word_count(words: DataFrame, ts_col: str, length: str, step: str |
     return counted.select(F.col("window.start").alias("slice"), "word", "count")
 
 
-def running_count(words: DataFrame) -> DataFrame:
-    """Running count per word over all batches, as Spark's own state.
+def _summed(words: DataFrame) -> DataFrame:
+    """Words with the counts of each Arrow batch: what is shuffled to the state is summed before."""
+    import pyarrow as pa
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = pa.table({"word": batch.column("word")}).group_by("word").aggregate([([], "count_all")])
+            yield from counted.rename_columns(["word", "count"]).cast(
+                pa.schema([("word", pa.string()), ("count", pa.int64())])).to_batches()
+
+    return words.select("word").mapInArrow(partial, "word string, count bigint")
+
+
+class RunningCount(StatefulProcessor):
+    """Adds the counts of a word to its state, which a seed may begin."""
+
+    def init(self, handle) -> None:
+        self.total = handle.getValueState("total", "total bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = self.total.get() if self.total.exists() else (0,)
+        total = held[0] + sum(r["count"] for r in rows)
+        self.total.update((total,))
+        yield Row(word=key[0], count=total)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.total.update((initialState["count"],))
+
+    def close(self) -> None:
+        pass
+
 
-    It is summed per task before it is shuffled, so a hot word is one row per task.
-    Use update mode.
+def running_count(words: DataFrame, seed: DataFrame) -> DataFrame:
+    """Running count per word over all batches, on top of a seed with one row per word.
+
+    The state is a table of words in RocksDB that starts as the seed.  Use update mode, and
+    start the stream within ``large_state``.
     """
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return _summed(words).groupBy("word").transformWithState(
+        RunningCount(), "word string, count bigint", "Update", "None", seed.groupBy("word"))
+
+
+SEED = "seed"
+"""Run under which the seed of a table is committed."""
 
 
 def running_count_stream(words: DataFrame, seed: DataFrame, path: str, checkpoint: str,
                          trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
-    """Running counts on top of a seed; ``read_running_count`` has every word of either.
+    """Running counts on top of a seed: the table (``read_latest``) has every word of either.
 
-    The seed is aggregated and stored once, beside the changes, and no micro-batch
-    reads it; a restart finds it there.
+    The seed is aggregated and stored once; it is the first version of its words, and the state
+    of the first micro-batch.  A restart finds both.
     """
-    spark = words.sparkSession
-    if not exists(spark, f"{path}/seed/_SUCCESS"):
-        seed.groupBy("word").agg(F.sum("count").alias("count")).write.mode("overwrite").parquet(f"{path}/seed")
-    return latest_stream(running_count(words), f"{path}/counts", checkpoint, "update", trigger, partitions)
-
-
-def read_running_count(spark: SparkSession, path: str) -> DataFrame:
-    """Seed and counted words, added up: seed words that never came are there too."""
-    seed = spark.read.schema("word string, count bigint").parquet(f"{path}/seed")
-    counted = read_latest(spark, f"{path}/counts", ["word"], seed.schema)
-    return seed.unionByName(counted).groupBy("word").agg(F.sum("count").alias("count"))
+    spark, log = words.sparkSession, latest_log(path, ["word"])
+    state = log.state(spark)
+    if not state.folded(SEED, 0, 0) and not any(b["run"] == SEED for b in state.batches):
+        log.write(spark, {ROWS: seed.groupBy("word").agg(F.sum("count").alias("count"))}, 0, SEED)
+    begun = log.read_run(spark, ROWS, SEED, T.StructType.fromDDL("word string, count bigint"))
+    with large_state(spark):
+        return latest_stream(running_count(words, begun), path, checkpoint, ["word"], "update", trigger, partitions)
 
 
 def counter_schema(output: str, flag: str = "int") -> str:
     """Columns of a dashboard counter table; ``flag`` is the type of its country flag."""
     keys = ", ".join(f"{k} {flag if k == 'is_india' else 'string'}" for k in COUNTERS[output][1][1:])
-    return f"slice timestamp, {keys}, count bigint, tot_tm bigint, cat string, first_ts timestamp"
+    return f"slice timestamp, {keys}, count bigint, tot_tm bigint, cat string"
 
 
-def write_counter(rows: DataFrame, path: str, output: str, batch_id: int, run: str = "0", tz: str | None = None) -> None:
-    """Add dashboard rows to a counter: one entry below the hour that they count for.
+def counter_table(output: str) -> UpsertTable:
+    """A dashboard counter: what its entries are keyed by, add up, and are pruned by."""
+    _, keys = COUNTERS[output]
+    return UpsertTable("", keys, ["count", "tot_tm"], ["cat"], order="first_ts", zone="slice")
 
-    The folder is named by the start of that hour; the rows carry its end.  A batch
-    that is written again replaces its entry.
-    """
-    counts, _ = COUNTERS[output]
-    begun = F.col("slice") - F.expr("INTERVAL 1 HOUR")
-    write_batch(counts(rows), f"{path}/{output}", batch_id, run, begun, tz)
 
+def counter_log(path: str, outputs: list[str] | None = None, **more: Kind) -> CommitLog:
+    """Dashboard counters below one path, committed together."""
+    return CommitLog(path, {**{o: counter_table(o).kind for o in outputs or COUNTERS}, **more})
 
-def read_counter(spark: SparkSession, path: str, output: str, hours: list[datetime] | None = None,
-                 flag: str = "int") -> DataFrame:
-    """A counter table, or those of its hours that begin at ``hours`` (of the table's zone).
 
-    Its entries are summed; only the folders of the hours asked for are listed.
+def counter_frames(keyed: DataFrame, outputs: list[str]) -> dict[str, DataFrame]:
+    """What dashboard rows add to each counter."""
+    return {o: COUNTERS[o][0](keyed) for o in outputs}
+
+
+def read_counter(spark: SparkSession, log: CommitLog, output: str, start: datetime | None = None,
+                 end: datetime | None = None, flag: str = "int") -> DataFrame:
+    """A counter table, or those of its hours that begin from ``start`` to before ``end`` (UTC).
+
+    Rows carry the end of their hour; only batches with rows of these hours are opened.
     """
     schema = T.StructType.fromDDL(counter_schema(output, flag))
-    if hours is None:
-        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/{output}")
-    else:
-        rows = read_slices(spark, f"{path}/{output}", hours, schema, hourly=True)
-    return merge_counter(rows, output).drop("first_ts")
+    hour = timedelta(hours=1)
+    return log.read(spark, output, schema, start and start + hour, end and end + hour)
 
 
 def dashboard_stream(clicks: DataFrame, path: str, checkpoint: str, outputs: list[int],
-                     trigger: dict | None = None, tz: str | None = None) -> StreamingQuery:
-    """One keyed pre-aggregate per micro-batch, added to each chosen counter table."""
+                     trigger: dict | None = None, tz: str | None = None, fold_at: int = 32) -> StreamingQuery:
+    """One keyed pre-aggregate per micro-batch, added to each chosen counter table with one commit."""
     chosen = [OUTPUTS[o] for o in outputs]
+    log = counter_log(path, chosen)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         keyed = observed(dashboard_counts(batch, tz), "dashboard_rows").persist()
         try:
-            for output in chosen:
-                write_counter(keyed, path, output, batch_id, run_of(batch), tz)
+            log.write(spark, counter_frames(keyed, chosen), batch_id, run_of(batch))
         finally:
             keyed.unpersist()
+        if batch_id % fold_at == fold_at - 1:
+            log.fold(spark, keep=1)
 
     return (
         clicks.writeStream.foreachBatch(write)
@@ -160,11 +219,18 @@ def dashboard_stream(clicks: DataFrame, path: str, checkpoint: str, outputs: lis
     )
 
 
+def noted_offsets(batch: DataFrame) -> list[dict]:
+    """Offset range of each topic and partition that a batch of messages holds: one row per partition."""
+    return [r.asDict() for r in offset_ranges(batch).collect()] if "offset" in batch.columns else []
+
+
 def offset_stream(messages: DataFrame, path: str, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Note the offset range of every micro-batch; the checkpoint stays the truth."""
+    """Note the offset range of every micro-batch in its commit record; the checkpoint stays the truth."""
+    log = CommitLog(path, {})
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(offset_ranges(batch), path, batch_id, run_of(batch))
+        log.write(batch.sparkSession, {}, batch_id, run_of(batch), offsets=noted_offsets(batch))
 
     return (
         messages.writeStream.foreachBatch(write)

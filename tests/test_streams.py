@@ -45,7 +45,7 @@ def same(left, right):
 
 def test_article_stream_equals_batch(spark, sf, split_dir, tmp_path):
     rows = jobs.article_5min_stream(stream(spark, split_dir))
-    query = jobs.latest_stream(rows, f"{tmp_path}/t", f"{tmp_path}/c")
+    query = jobs.latest_stream(rows, f"{tmp_path}/t", f"{tmp_path}/c", ["slice", *ARTICLE_KEYS])
     query.awaitTermination()
     assert len(query.recentProgress) >= 4
     got = jobs.read_latest(spark, f"{tmp_path}/t", ["slice", *ARTICLE_KEYS], rows.schema)
@@ -55,9 +55,10 @@ def test_article_stream_equals_batch(spark, sf, split_dir, tmp_path):
 def test_stateless_article_stream_adds_up(spark, sf, split_dir, tmp_path):
     schema = articles.article_5min(clicks(spark, sf)).schema
     append.append_stream(stream(spark, split_dir), f"{tmp_path}/t", f"{tmp_path}/c", articles.article_5min).awaitTermination()
-    log = append.read_batches(spark, f"{tmp_path}/t", schema)
-    assert log.select("batch_id").distinct().count() == 4 and log.select("run").distinct().count() == 1
-    same(shown(articles.article_hourly(log.drop("batch_id", "run"))),
+    log = append.read_appended(spark, f"{tmp_path}/t", schema)
+    noted = append.append_log(f"{tmp_path}/t").state(spark).batches
+    assert [b["first"] for b in noted] == [0, 1, 2, 3] and len({b["run"] for b in noted}) == 1
+    same(shown(articles.article_hourly(log)),
          shown(articles.article_hourly(articles.article_5min(clicks(spark, sf)))))
 
 
@@ -68,7 +69,7 @@ def test_windowed_words_equal_batch(spark, sf, split_dir, tmp_path):
     for length, step in (("10 seconds", None), ("30 seconds", "10 seconds")):
         out = f"{tmp_path}/{length[:2]}"
         rows = jobs.windowed_word_count(timed(stream(spark, split_dir)), "ts", length, step)
-        jobs.latest_stream(rows, f"{out}/t", f"{out}/c").awaitTermination()
+        jobs.latest_stream(rows, f"{out}/t", f"{out}/c", ["slice", "word"]).awaitTermination()
         got = jobs.read_latest(spark, f"{out}/t", ["slice", "word"], rows.schema)
         same(got, jobs.windowed_word_count(timed(clicks(spark, sf)), "ts", length, step))
 
@@ -84,7 +85,7 @@ def test_running_count_starts_from_the_seed(spark, tmp_path):
     def run():
         said = words.split_words(file_lines(spark, f"{tmp_path}/in"))
         jobs.running_count_stream(said, seed, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
-        return {r.word: r["count"] for r in jobs.read_running_count(spark, f"{tmp_path}/t").collect()}
+        return {r.word: r["count"] for r in jobs.read_latest(spark, f"{tmp_path}/t", ["word"], seed.schema).collect()}
 
     lines_in(tmp_path, "a.txt", "hello there hello\n")
     # a seed word that never came is there
@@ -92,12 +93,17 @@ def test_running_count_starts_from_the_seed(spark, tmp_path):
     # started again from the checkpoint: state goes on, old lines are not read twice
     lines_in(tmp_path, "b.txt", "world there\n")
     assert run() == {"hello": 3, "there": 2, "world": 2}
+    log = jobs.latest_log(f"{tmp_path}/t", ["word"])
+    # the seed is a version of its own, and the state goes on from it: nothing is added on reading
+    assert {r.word: r["count"] for r in log.read_run(spark, "rows", jobs.SEED, seed.schema).collect()} == {"hello": 1, "world": 1}
+    assert [b["run"] == jobs.SEED for b in log.state(spark).batches].count(True) == 1
+    assert log.fold(spark) == 3 and run() == {"hello": 3, "there": 2, "world": 2}
 
 
 def test_restart_equals_one_run(spark, tmp_path):
     def run():
         counts = words.word_count(words.split_words(file_lines(spark, f"{tmp_path}/in")))
-        jobs.latest_stream(counts, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+        jobs.latest_stream(counts, f"{tmp_path}/t", f"{tmp_path}/c", ["word"]).awaitTermination()
         rows = jobs.read_latest(spark, f"{tmp_path}/t", ["word"], counts.schema)
         return {r.word: r["count"] for r in rows.collect()}
 
@@ -111,16 +117,16 @@ def test_restart_equals_one_run(spark, tmp_path):
 def test_dashboard_fan_out_equals_batch(spark, sf, split_dir, tmp_path):
     jobs.dashboard_stream(stream(spark, split_dir), f"{tmp_path}/t", f"{tmp_path}/c", [1, 3]).awaitTermination()
     keyed = dashboard.dashboard_keys(clicks(spark, sf))
-    same(jobs.read_counter(spark, f"{tmp_path}/t", "referer"), dashboard.referer_counts(keyed).drop("first_ts"))
-    same(jobs.read_counter(spark, f"{tmp_path}/t", "location"), dashboard.location_counts(keyed).drop("first_ts"))
-    assert not (tmp_path / "t" / "response").exists()
+    same(jobs.read_counter(spark, jobs.counter_log(f"{tmp_path}/t"), "referer"), dashboard.referer_counts(keyed).drop("first_ts"))
+    same(jobs.read_counter(spark, jobs.counter_log(f"{tmp_path}/t"), "location"), dashboard.location_counts(keyed).drop("first_ts"))
+    assert not (tmp_path / "t" / "data" / "response").exists()
 
 
 def test_a_new_checkpoint_adds_to_the_table(spark, sf, split_dir, tmp_path):
     """The same stream again, on another checkpoint: its batches do not replace those of the first."""
     for c in ("c1", "c2", "c2"):
         append.append_stream(stream(spark, split_dir).select("event_id"), f"{tmp_path}/t", f"{tmp_path}/{c}").awaitTermination()
-    assert append.read_batches(spark, f"{tmp_path}/t", clicks(spark, sf).select("event_id").schema).count() == 2000
+    assert append.read_appended(spark, f"{tmp_path}/t", clicks(spark, sf).select("event_id").schema).count() == 2000
 
 
 def test_tables_of_one_file_and_of_many(spark, sf, tmp_path):
@@ -130,7 +136,7 @@ def test_tables_of_one_file_and_of_many(spark, sf, tmp_path):
     for n, folder in enumerate((sf, str(tmp_path))):
         rows = event_stream(spark, folder).select("event_id")
         append.append_stream(rows, f"{tmp_path}/t{n}", f"{tmp_path}/c{n}").awaitTermination()
-        assert append.read_batches(spark, f"{tmp_path}/t{n}", rows.schema).count() == 1000
+        assert append.read_appended(spark, f"{tmp_path}/t{n}", rows.schema).count() == 1000
 
 
 @pytest.mark.parametrize("kind", ["windowed", "same"])
@@ -145,7 +151,7 @@ def test_stream_joins_equal_batch(spark, sf, split_dir, tmp_path, kind):
 
     live = pairs(lambda: stream(spark, split_dir))
     append.append_stream(live, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
-    got = append.read_batches(spark, f"{tmp_path}/t", live.schema).drop("batch_id", "run")
+    got = append.read_appended(spark, f"{tmp_path}/t", live.schema)
     want = pairs(lambda: clicks(spark, sf))
     assert want.count() > 0
     same(got, want)
