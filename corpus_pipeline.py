@@ -7,31 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm import decontaminate, lines, pieces, quality, similar
+from clickroll.llm import decontaminate, lines, pieces, quality, simhash
 from clickroll.llm.common import table
 from clickroll.session import stored, work_dir
 
 ORACLE_SQL = None
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, with underscores behind while the documents have such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    kept = quality.scored(docs, quality.quality_model(spark, sf_dir), out="_score")
-    return kept.where(F.col("_score") >= quality.PREDICT_AT).drop("_score")
+    score = _free("_score", docs)
+    kept = quality.scored(docs, quality.quality_model(spark, sf_dir), out=score)
+    return kept.where(F.col(score) >= quality.PREDICT_AT).drop(score)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages and chunks of lines that stand elsewhere before; ``n_chars`` follows the text."""
+    """All documents, without the passages and chunks of lines that stand elsewhere before; ``n_chars``, if there, follows the text."""
     cut = stored(lines.cut_passages(docs), "passages")
-    return lines.dedup_lines(cut).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
+    kept = lines.dedup_lines(cut).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id.
-
-    Near means 0.8 of the shingles of five words; 64 bits of SimHash cannot tell that apart.
-    """
-    return similar.unique_documents(docs)
+    """Of each group of near duplicates, the document with the smallest id: four words a shingle, four bits apart at most."""
+    return simhash.unique_documents(docs, shingle=4, distance=4)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
