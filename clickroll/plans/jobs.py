@@ -89,8 +89,12 @@ class Tables:
         return wall.replace(tzinfo=ZoneInfo(self.tz)).astimezone(timezone.utc).replace(tzinfo=None)
 
     def log(self, name: str) -> CommitLog:
-        """The table a batch job writes; a run replaces the slices it is for."""
-        return CommitLog(self.path(name), {append.ROWS: Kind("slice")}, owns=True)
+        """The table a batch job writes; a run replaces the slices it is for.
+
+        Tables of articles lie sorted by host and article, with Bloom filters of the articles, for scans of single ones.
+        """
+        points = {"sort": ("host", "article_id"), "bloom": ("article_id",)} if name in ("article_hourly", "article_daily") else {}
+        return CommitLog(self.path(name), {append.ROWS: Kind("slice", **points)}, owns=True)
 
     def write(self, rows: DataFrame, name: str, start: datetime, span: timedelta, late: timedelta = timedelta(0)) -> None:
         """Replace the rows of a table from ``start`` on; slices that carry the end of their hour are ``late``."""
@@ -118,7 +122,7 @@ def device_table(tables: Tables) -> UpsertTable:
 
 def agent_table(tables: Tables) -> UpsertTable:
     """The agent dimension: the first description of an agent stays."""
-    return UpsertTable("", ["user_agent"], [], ["detail"])
+    return UpsertTable("", ["user_agent"], [], ["detail"], lookup="user_agent")
 
 
 def stream_log(tables: Tables, job: str) -> CommitLog:
@@ -250,10 +254,14 @@ def device_stream(source: DataFrame, tables: Tables, trigger: dict | None = None
         def add(good: DataFrame) -> dict[str, DataFrame]:
             events = messages.normalise_agent_events(good)
             sums = devices.host_agent_sums(events, slice_start("hour", "ts", tz=tables.zone)).persist()
-            dim = read_agents(spark, tables, batch_id, run)
-            fresh = devices.new_agents(sums, dim).persist()
+            agents = sums.where(F.col("agent_type").isNotNull()).select(F.col("agent_type").alias("user_agent")).distinct().persist()
+            # only folders that may have some of these agents are opened; agents that none has are new
+            dim, nowhere = stream_log(tables, "device").find(spark, "agents", agents, AGENT_DIM, batch_id, run)
+            maybe = agents.exceptAll(nowhere)
+            fresh = devices.describe_agents(nowhere.unionByName(maybe.join(dim.select("user_agent"), "user_agent", "left_anti")),
+                                            "user_agent").persist()
             rows = devices.described_sums(devices.with_details(sums, dim.unionByName(fresh))).persist()
-            held.extend((rows, fresh, sums))
+            held.extend((rows, fresh, agents, sums))
             return {"agents": fresh, "host_agent": rows, "host_device": devices.host_device_deltas(rows)}
 
         try:

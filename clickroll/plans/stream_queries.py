@@ -161,7 +161,8 @@ def _pairs(joined: DataFrame, label: str) -> DataFrame:
 @query("join_streams_batch", duck(_PAIRS + "AND a.epoch_s // 3600 = b.epoch_s // 3600"))
 def join_streams_batch(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
-    pairs = joins.join_same_batch(left, right, "article_id", "ts", "id", 3600)
+    hot = joins.heavy_keys(clicks(spark, sf_dir), "article_id")
+    pairs = joins.join_same_batch(left, right, "article_id", "ts", "id", 3600, hot=hot)
     return _pairs(pairs, "join-batch")
 
 
@@ -171,7 +172,8 @@ _NEAR = "AND b.ts > a.ts - INTERVAL 60 MINUTE AND b.ts < a.ts + INTERVAL 20 MINU
 @query("join_streams_windowed", duck(_PAIRS + _NEAR))
 def join_streams_windowed(spark, sf_dir):
     left, right = _sides(lambda: click_stream(spark, sf_dir))
-    pairs = joins.join_windowed(left, right, "article_id", "ts", "id", 1200, 3600)
+    hot = joins.heavy_keys(clicks(spark, sf_dir), "article_id")
+    pairs = joins.join_windowed(left, right, "article_id", "ts", "id", 1200, 3600, hot=hot)
     return _pairs(pairs, "join-windowed")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickroll.sinks import files
+from clickroll.sinks import bloom, files
 from clickroll.sinks.intervals import Ranges, added, meets
 
 FANOUT = 8
@@ -57,6 +57,12 @@ class Kind:
 
     zone: str | None = None
     """Timestamp column that folders are pruned by."""
+    sort: tuple[str, ...] = ()
+    """Columns a file is sorted by, if not by its zone: scans for some of their values skip row groups."""
+    bloom: tuple[str, ...] = ()
+    """Columns with a Parquet Bloom filter in each row group, for scans of single values."""
+    lookup: str | None = None
+    """Text column with a Bloom filter for each folder, so that a lookup opens only folders that can have its keys."""
     entry: Callable[[DataFrame, str, int], DataFrame] = lambda rows, run, batch: rows
     merge: Callable[[DataFrame], DataFrame] = lambda entries: entries
     rows: Callable[[DataFrame], DataFrame] = lambda entries: entries
@@ -73,6 +79,8 @@ class Part:
     level: int = -1
     gone: Ranges = field(default_factory=list)
     """Slices that newer batches own."""
+    filter: str | None = None
+    """File with the Bloom filter of the looked-up column."""
 
     def holds(self, start: int | None, end: int | None) -> bool:
         """Whether it can have rows of ``[start, end)``; a table without zone always can."""
@@ -163,11 +171,19 @@ class CommitLog:
         ends = [F.min(zone).alias("lo"), F.max(zone).alias("hi")] if zone else []
         watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *ends)
         path = f"data/{name}/{folder}"
-        (watched.sortWithinPartitions(zone) if zone else watched).write.parquet(f"{self.path}/{path}")
+        kind = self.tables[name]
+        order = kind.sort or ((zone,) if zone else ())
+        options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in kind.bloom}
+        (watched.sortWithinPartitions(*order) if order else watched).write.options(**options).parquet(f"{self.path}/{path}")
         got = seen.get
         # a table without zone holds rows of any time
         lo, hi = (_micros(got["lo"]), _micros(got["hi"])) if zone else (None, None)
-        return Part(path, lo if got["rows"] else None, hi if got["rows"] else None, rows.schema.json())
+        part = Part(path, lo if got["rows"] else None, hi if got["rows"] else None, rows.schema.json())
+        if kind.lookup:
+            part.filter = f"data/{name}/{folder}.bloom"
+            held = self._load(rows.sparkSession, name, [part])
+            files.write_bytes(rows.sparkSession, f"{self.path}/{part.filter}", bloom.built(held, kind.lookup, got["rows"]))
+        return part
 
     def write(self, spark: SparkSession, frames: dict[str, Rows], batch_id: int, run: str = "0",
               last: int | None = None, offsets: list[dict] | None = None) -> None:
@@ -267,6 +283,24 @@ class CommitLog:
         (name,) = self.tables
         self.write(rows.sparkSession, {name: rows}, _micros(start), "span", _micros(end) - 1)
 
+    def find(self, spark: SparkSession, name: str, keys: DataFrame, empty: T.StructType, before: int | None = None,
+             run: str = "0") -> tuple[DataFrame, DataFrame]:
+        """Rows of a table from the folders that may hold some of ``keys``, and the keys that no folder holds for sure.
+
+        ``keys`` has one column, the looked-up one, and is small enough to be kept; the folders'
+        Bloom filters say no only where a key is not there, so none is lost.
+        """
+        parts = [p for p in self.parts(self.state(spark), name, before=before, run=run) if p.filter]
+        tests = [bloom.holds(F.col(keys.columns[0]), files.read_bytes(spark, f"{self.path}/{p.filter}")) for p in parts]
+        if not parts:
+            return spark.createDataFrame([], empty), keys
+        hits = keys.agg(*[F.count_if(t).alias(f"p{i}") for i, t in enumerate(tests)]).first()
+        opened = [p for i, p in enumerate(parts) if hits[i]]
+        nowhere = keys.where(~reduce(lambda a, b: a | b, tests))
+        if not opened:
+            return spark.createDataFrame([], empty), nowhere
+        return self.tables[name].rows(self._load(spark, name, opened)), nowhere
+
     def span(self, spark: SparkSession, name: str) -> tuple[datetime, datetime] | None:
         """The smallest and the largest slice (UTC) of a table with a zone, from the records alone."""
         parts = [p for p in self.parts(self.state(spark), name) if p.lo is not None]
@@ -339,7 +373,7 @@ class CommitLog:
         until, gone = (time.time() - age) * 1000, 0
         for table, _ in files.names(spark, f"{self.path}/data"):
             for folder, written in files.names(spark, f"{self.path}/data/{table}"):
-                if f"data/{table}/{folder}" not in named and written < until:
+                if f"data/{table}/{folder.removesuffix('.bloom')}" not in named and written < until:
                     files.remove(spark, f"{self.path}/data/{table}/{folder}")
                     gone += 1
         return gone

@@ -31,6 +31,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(root, True)
 
 
+def write_bytes(spark: SparkSession, path: str, value: bytes) -> None:
+    """Write a small file, over one that is there."""
+    fs, root = _folder(spark, path)
+    out = fs.create(root, True)
+    out.write(bytearray(value))
+    out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    fs, root = _folder(spark, path)
+    source = fs.open(root)
+    try:
+        return bytes(source.readAllBytes())
+    finally:
+        source.close()
+
+
 def write_json(spark: SparkSession, path: str, value: dict) -> None:
     """Write a small file that is there as a whole or not at all; one of that name must not be there."""
     fs, root = _folder(spark, path)
@@ -43,9 +60,4 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
-    fs, root = _folder(spark, path)
-    source = fs.open(root)
-    try:
-        return json.loads(bytes(source.readAllBytes()))
-    finally:
-        source.close()
+    return json.loads(read_bytes(spark, path))

@@ -37,6 +37,8 @@ class UpsertTable:
     sets: list[str] = field(default_factory=list)
     order: str | None = None
     zone: str | None = None
+    lookup: str | None = None
+    """Text key with a Bloom filter for each folder (see ``CommitLog.find``)."""
 
     # --- entries -------------------------------------------------------
     def _fold(self, entries: DataFrame) -> DataFrame:
@@ -71,7 +73,8 @@ class UpsertTable:
     @property
     def kind(self) -> Kind:
         """The table as one of several of a commit log."""
-        return Kind(self.zone, self._entry, self._fold, lambda entries: self._fold(entries).drop("_order"))
+        return Kind(self.zone, entry=self._entry, merge=self._fold, rows=lambda entries: self._fold(entries).drop("_order"),
+                    lookup=self.lookup)
 
     @property
     def log(self) -> CommitLog:

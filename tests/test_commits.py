@@ -174,3 +174,75 @@ def test_crash_before_the_record_then_a_new_checkpoint(spark, tmp_path, monkeypa
     assert sum(r["count"] for r in tables.read(spark, "article_hourly").collect()) == len(good)
     assert jobs.read_quarantine(spark, tables, "article").count() == 60 - len(good)
     assert jobs.resume_from(spark, tables, "t") == '{"t":{"0":59,"1":60}}'
+
+
+def rows_scanned(df):
+    """Rows that the scans of a plan let through."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+
+    def leaves(node):
+        kids = node.children()
+        return [node] if kids.isEmpty() else [x for i in range(kids.size()) for x in leaves(kids.apply(i))]
+
+    return sum(x.metrics().apply("numOutputRows").value() for x in leaves(plan))
+
+
+def test_point_scans_skip_row_groups(spark, tmp_path):
+    n = 40_000
+    made = spark.range(n).select(
+        F.lit(HOUR).alias("slice"), F.concat(F.lit("h"), F.col("id") % 4).alias("host"),
+        F.sha2(F.col("id").cast("string"), 256).alias("article_id"), F.rand(1).cast("string").alias("pad")).coalesce(1)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "65536")
+    try:
+        for name, kind in (("plain", Kind("slice")), ("points", Kind("slice", ("host", "article_id"), ("article_id",)))):
+            log = CommitLog(f"{tmp_path}/{name}", {ROWS: kind}, owns=True)
+            log.write_span(made, HOUR, HOUR + timedelta(hours=1))
+        one = F.sha2(F.lit("17"), 256)
+        key = spark.range(1).select(one.alias("k")).first().k
+        scanned = {name: rows_scanned(CommitLog(f"{tmp_path}/{name}", {ROWS: Kind("slice")}, owns=True).read(
+            spark, ROWS).where((F.col("host") == "h1") & (F.col("article_id") == key))) for name in ("plain", "points")}
+        assert scanned["points"] < n / 10
+        got = log.read(spark, ROWS).where(F.col("article_id") == key)
+        assert got.count() == 1 and rows_scanned(got) < n / 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+
+
+def test_bloom_filters_lose_no_key(spark):
+    from clickroll.sinks import bloom
+
+    rows = spark.range(5000).select(F.concat(F.lit("agent "), "id").alias("a")).union(spark.createDataFrame([(None,), ("",)], "a string"))
+    bits = bloom.built(rows, "a", 5002)
+    assert len(bits) * 8 == 65536
+    assert rows.where("a IS NOT NULL").where(~bloom.holds(F.col("a"), bits)).count() == 0
+    others = spark.range(5000).select(F.concat(F.lit("other "), "id").alias("a"))
+    assert others.where(bloom.holds(F.col("a"), bits)).count() < 200
+    # a full filter holds everything: it costs reads, never keys
+    assert others.where(bloom.holds(F.col("a"), b"\xff" * 4096)).count() == 5000
+
+
+def test_lookups_open_only_folders_with_their_keys(spark, tmp_path):
+    table = UpsertTable(f"{tmp_path}/t", ["user_agent"], [], ["detail"], lookup="user_agent")
+    schema = "user_agent string, detail string"
+    for batch in range(4):
+        table.upsert(spark.createDataFrame([(f"{batch}-{i}", f"d{batch}") for i in range(50)], schema), batch)
+    empty = spark.createDataFrame([], schema).schema
+
+    def find(*agents):
+        keys = spark.createDataFrame([(a,) for a in agents], "user_agent string")
+        found, nowhere = table.log.find(spark, "rows", keys, empty)
+        return found, {r.user_agent for r in nowhere.collect()}
+
+    found, nowhere = find("new 1", "new 2", "new 3")
+    assert nowhere == {"new 1", "new 2", "new 3"} and not found.inputFiles()
+    found, nowhere = find("2-7", "new 1")
+    assert nowhere == {"new 1"} and {f.split("/b-")[1][0] for f in found.inputFiles()} == {"2"}
+    assert found.where("user_agent = '2-7'").first().detail == "d2"
+    table.compact(spark)
+    found, nowhere = find("0-1", "3-49", "new 9")
+    assert nowhere == {"new 9"} and found.where("user_agent IN ('0-1', '3-49')").count() == 2
+    assert table.log.vacuum(spark, age=-1) == 8 and find("0-1")[1] == set()

@@ -217,15 +217,31 @@ def sides(spark):
 def test_windowed_join_equals_brute_force(spark):
     left, right, a, b = sides(spark)
     want = sorted((v1, v2) for k1, s1, v1 in left for k2, s2, v2 in right if k1 == k2 and s1 - 60 < s2 < s1 + 20)
-    got = joins.join_windowed(a, b, "k", "ts", "v")
-    assert sorted((r.left_value, r.right_value) for r in got.collect()) == want
+    for hot in (None, ["k0"], ["k0", "k1", "no such key"]):
+        got = joins.join_windowed(a, b, "k", "ts", "v", hot=hot)
+        assert sorted((r.left_value, r.right_value) for r in got.collect()) == want
 
 
 def test_batch_join_equals_brute_force(spark):
     left, right, a, b = sides(spark)
     want = sorted((v1, v2) for k1, s1, v1 in left for k2, s2, v2 in right if k1 == k2 and s1 // 20 == s2 // 20)
-    got = joins.join_same_batch(a, b, "k", "ts", "v", 20)
-    assert sorted((r.left_value, r.right_value) for r in got.collect()) == want
+    for hot in (None, ["k0"]):
+        got = joins.join_same_batch(a, b, "k", "ts", "v", 20, hot=hot)
+        assert sorted((r.left_value, r.right_value) for r in got.collect()) == want
+
+
+def test_heavy_keys_are_found_and_only_they_are_copied(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "warm").otherwise(F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("left_value"))
+    assert joins.heavy_keys(rows, "key") == ["hot"]
+    assert joins.heavy_keys(rows, "key", 0.01) == ["hot", "warm"]
+    assert joins.heavy_keys(rows.where("key <> 'hot'"), "key", 0.5) == []
+    assert joins.heavy_keys(rows.limit(0), "key") == [] and joins.heavy_keys(rows.select(F.lit(None).cast("string").alias("key")), "key") == []
+    for hot, copies in ((None, 0), (["hot"], 10_000 * (joins.SALT - 1))):
+        left, right = joins._salted(rows, rows, hot, joins.SALT)
+        assert (left.count(), right.count()) == (30_000, 30_000 + copies)
+        assert left.join(right, ["key", "salt", "left_value"]).count() == 30_000
 
 
 def test_range_end_points(spark):
