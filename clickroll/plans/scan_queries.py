@@ -47,11 +47,25 @@ def _interval(name: str, interval: str, seconds: int) -> None:
 
 
 _interval("src_interval_scan", "WEEK", 302400)
-_interval("src_interval_scan_minute", "MINUTE", 300)
 _interval("src_interval_scan_hour", "HOUR", 1800)
 _interval("src_interval_scan_month", "MONTH", 1296000)
 
 
+_LAST = "CAST(epoch(date_trunc('minute', (SELECT max(ts) FROM clicks))) AS BIGINT) + 60"
+
+
+@query(
+    "src_interval_scan_minute",
+    duck(f"SELECT event_id, host, epoch_s FROM clicks WHERE epoch_s >= {_LAST} - 300 AND epoch_s < {_LAST}"),
+)
+def src_interval_scan_minute(spark, sf_dir):
+    # the end of the last minute with clicks, so that there are some at any size
+    source = clicks(spark, sf_dir)
+    end = F.unix_seconds(F.date_trunc("minute", F.max("ts"))) + 60
+    now = datetime(1970, 1, 1) + timedelta(seconds=source.agg(end.alias("s")).first().s)
+    return scans.interval_scan(source, now, "MINUTE").select("event_id", "host", "epoch_s")
+
+
 @query(
     "src_hourly_articles",
     duck(f"""SELECT * FROM rows_ WHERE slice > {NOW_S - 3600} AND slice <= {NOW_S} AND host IN {ALLOWED}""",
