@@ -86,6 +86,36 @@ class Memo(dict):
         return value
 
 
+    def fill(self, keys: Iterable, many: Callable) -> None:
+        """Hold the results of ``keys``; those that are new come from ``many``, which takes all of them at once."""
+        missing = [k for k in keys if k not in self]
+        if len(self) + len(missing) > self.limit:
+            self.old = self.copy()
+            self.clear()
+            missing = list(keys)
+        new = []
+        for k in missing:
+            value = self.old.get(k)
+            if value is None:
+                new.append(k)
+            else:
+                self[k] = value
+        self.update(zip(new, many(new), strict=True))
+
+
+def groups_of(texts: Iterable[str], size: int = 1 << 19) -> Iterator[list[str]]:
+    """Texts in groups of about ``size`` characters; a longer one is a group of its own."""
+    group, held = [], 0
+    for t in texts:
+        if group and held + len(t) > size:
+            yield group
+            group, held = [], 0
+        group.append(t)
+        held += len(t)
+    if group:
+        yield group
+
+
 def per_worker(name: str, make: Callable):
     """What ``make`` builds, built once in each Python worker and kept for its later tasks."""
     module = sys.modules.setdefault("_clickroll_llm_worker", types.ModuleType("_clickroll_llm_worker"))

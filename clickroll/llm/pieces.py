@@ -20,13 +20,14 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import Memo, carried, encoded, per_worker, query, table
+from clickroll.llm.common import carried, encoded, groups_of, Memo, per_worker, query, table
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -136,7 +137,7 @@ class Codec:
 
     _UNITS = re.compile(r"\n[^ \n]*| +[^ \n]*|[^ \n]+")
 
-    def __init__(self, model: bytes, memo: int = 150_000) -> None:
+    def __init__(self, model: bytes, memo: int = 400_000) -> None:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -147,6 +148,9 @@ class Codec:
                                     spec.escape_whitespaces, trainer.treat_whitespace_as_suffix)
         bytes_of = sentencepiece_model_pb2.ModelProto.SentencePiece.BYTE
         self.sizes = [1 if p.type == bytes_of else len(p.piece.encode()) for p in proto.pieces]
+        self.lengths = np.array(self.sizes, "<i4")
+        self.named = [b"%d," % i for i in range(len(self.sizes))]
+        self.begins = np.array([p.piece.startswith(MARK) for p in proto.pieces])
         self.unknown = self.library.unk_id()
         self.mark = self.library.piece_to_id(MARK)
         normal = [p.piece for p in proto.pieces if p.type == 1]
@@ -159,26 +163,64 @@ class Codec:
             and not any("\n" in p or " " in p or (MARK in p[1:] and p.strip(MARK)) for p in normal))
         self.units = Memo(self._unit, memo)
 
-    def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
+    def _unit(self, unit: str) -> tuple:
+        """Ids of a unit, the same as text, and its decoded text if that is not the unit."""
         if unit == " ":
             ids = [self.mark]
         elif unit[0] == " ":
             ids = self.library.encode(unit[1:])      # the library adds the first blank
         else:
             ids = self.library.encode(unit)[1:]
-        return _packed(ids, [self.sizes[i] for i in ids])
+        # behind a mark that goes, as the library drops one blank at the begin
+        text = self.library.decode([self.mark, *ids])
+        packed = np.array(ids, "<i4").tobytes(), b"".join(map(self.named.__getitem__, ids))
+        return packed if text == unit else (*packed, text)
+
+    def _units(self, units: list[str]) -> list[tuple]:
+        """The same of many: words behind a blank are encoded as one text, which is cut where words begin."""
+        words = [u for u in units if len(u) > 1 and u[0] == " " and u[1] != " " and "\n" not in u]
+        found: dict[str, tuple] = {}
+        for at in range(0, len(words), 64):
+            some = words[at:at + 64]
+            text = "".join(some)[1:]
+            listed = self.library.encode(text)
+            ids = np.array(listed, "<i4")
+            cuts = np.flatnonzero(self.begins[ids]).tolist()
+            # a word of odd bytes spoils the check, and its neighbours go one by one as well
+            if len(cuts) == len(some) and self.library.decode(listed) == text:
+                packed, names = ids.tobytes(), list(map(self.named.__getitem__, listed))
+                found.update((u, (packed[4 * a:4 * b], b"".join(names[a:b])))
+                             for u, a, b in zip(some, cuts, [*cuts[1:], len(listed)], strict=True))
+        return [found.get(u) or self._unit(u) for u in units]
+
+    def split(self, texts: list[str]) -> list[list[str] | None]:
+        """Units of texts; those that are new are encoded together."""
+        if not self.by_unit:
+            return [None] * len(texts)
+        units = [self._UNITS.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+        self.units.fill(set(chain.from_iterable(units)), self._units)
+        return units
+
+    def coded(self, text: str, units: list[str] | None = None) -> tuple[np.ndarray, bytes, np.ndarray, str]:
+        """Ids, the same as text with commas behind, bytes of each piece as normalised, and the decoded text."""
+        if not text:
+            return np.zeros(0, "<i4"), b"", np.zeros(0, "<i4"), ""
+        if not self.by_unit:
+            ids = self.library.encode(text)
+            return (np.array(ids, "<i4"), b"".join(map(self.named.__getitem__, ids)),
+                    np.array(self._piece_sizes(text, ids), "<i4"), self.library.decode(ids))
+        if units is None:
+            (units,) = self.split([text])
+        found = list(map(self.units.__getitem__, units))
+        ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
+        plain = text.replace(MARK, " ")
+        if max(map(len, found)) > 2:
+            plain = "".join([f[2] if len(f) > 2 else u for f, u in zip(found, units, strict=True)])[1:]
+        return ids, b"".join([f[1] for f in found]), self.lengths[ids], plain
 
     def ids(self, text: str) -> tuple[np.ndarray, bytes, np.ndarray]:
         """Ids, the same as text with commas behind, and bytes of each piece as normalised."""
-        if not text:
-            found = []
-        elif self.by_unit:
-            found = list(map(self.units.__getitem__, self._UNITS.findall(" " + text.replace(MARK, " "))))
-        else:
-            ids = self.library.encode(text)
-            found = [_packed(ids, self._piece_sizes(text, ids))]
-        return (np.frombuffer(b"".join([f[0] for f in found]), "<i4"), b"".join([f[1] for f in found]),
-                np.frombuffer(b"".join([f[2] for f in found]), "<i4"))
+        return self.coded(text)[:3]
 
     def _piece_sizes(self, text: str, ids: list[int]) -> list[int]:
         pieces = self.library.encode(text, out_type=str) if self.unknown in ids else None
@@ -198,10 +240,6 @@ class Codec:
         return self.library.decode(ids.tolist())
 
 
-def _packed(ids: list[int], sizes: list[int]) -> tuple[bytes, bytes, bytes]:
-    return np.array(ids, "<i4").tobytes(), b"".join([b"%d," % i for i in ids]), np.array(sizes, "<i4").tobytes()
-
-
 def worker_codec(model: bytes) -> Codec:
     """The codec of a model, kept for the later tasks of a worker."""
     return per_worker(f"pieces-{hashlib.sha256(model).hexdigest()}", lambda: Codec(model))
@@ -226,19 +264,20 @@ def encode(text: Column, model: bytes, *fields: str) -> Column:
         codec = worker_codec(model)
         for texts in batches:
             rows = []
-            for t in texts.array:
-                ids, names, sizes = codec.ids(t)
-                row = {"n_tokens": len(ids), "ids": ids}
-                if "ids_sha256" in fields:
-                    row["ids_sha256"] = hashlib.sha256(names[:-1]).hexdigest()
-                if need_spans:
-                    row["begins"], row["ends"] = codec.spans(t, sizes)
-                    both = np.stack([row["begins"], row["ends"]], axis=1).astype("<u4")
-                    row["spans_crc32"] = zlib.crc32(both.tobytes())
-                if need_text:
-                    row["decoded"] = codec.decode(ids)
-                    row["decoded_sha256"] = hashlib.sha256(encoded(row["decoded"])).hexdigest()
-                rows.append([row[f] for f in fields])
+            for group in groups_of(texts.array):
+                for t, units in zip(group, codec.split(group), strict=True):
+                    ids, names, sizes, plain = codec.coded(t, units)
+                    row = {"n_tokens": len(ids), "ids": ids}
+                    if "ids_sha256" in fields:
+                        row["ids_sha256"] = hashlib.sha256(names[:-1]).hexdigest()
+                    if need_spans:
+                        row["begins"], row["ends"] = codec.spans(t, sizes)
+                        both = np.stack([row["begins"], row["ends"]], axis=1).astype("<u4")
+                        row["spans_crc32"] = zlib.crc32(both.tobytes())
+                    if need_text:
+                        row["decoded"] = plain
+                        row["decoded_sha256"] = hashlib.sha256(encoded(plain)).hexdigest()
+                    rows.append([row[f] for f in fields])
             yield pd.DataFrame(rows, columns=list(fields))
 
     return run(F.coalesce(text, F.lit("")))
