@@ -28,6 +28,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickroll.llm.common import Memo, per_worker, query, rows_of, table
+from clickroll.llm.common import Memo, groups_of, per_worker, query, rows_of, table
 from clickroll.session import stored, work_dir
 
 END_ID = 0
@@ -59,7 +60,7 @@ class ByteEncoder:
     # white space.  A blank belongs to what follows it, of more white space only the last one.
     _UNITS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?![^\W\d_])| ?\S+|\s+(?!\S)|\s+")
 
-    def __init__(self, blob: bytes, memo: int = 300_000, width: int | None = None) -> None:
+    def __init__(self, blob: bytes, memo: int = 450_000, width: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         spec = json.loads(blob)
@@ -71,10 +72,13 @@ class ByteEncoder:
             split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
             and not spec.get("normalizer") and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout"))
         # separators 1c-1f are white space here, but not to the library
-        odd = [re.escape(t["content"]) for t in spec.get("added_tokens", [])] + ["[\x1c-\x1f]"]
-        self.whole = re.compile("|".join(odd))
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.odd = re.compile("[\x1c-\x1f]")
         self.model = self.library.model
         self.letters = byte_letters()
+        blank = self.letters[32]
+        self.begins = np.zeros(max(self.library.get_vocab().values(), default=0) + 1, bool)
+        self.begins[[i for t, i in self.library.get_vocab().items() if t.startswith(blank)]] = True
         self.units = Memo(self._unit, memo)
 
     def pack(self, ids: list[int]) -> bytes:
@@ -91,11 +95,34 @@ class ByteEncoder:
             return self.pack([t.id for t in found])
         return self.pack(self.library.encode(unit, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> bytes:
+    def _many(self, units: list[str]) -> list[bytes]:
+        """The same of many: words behind a blank are encoded as one text, which is cut where words begin."""
+        words = [u for u in units if u[0] == " " and u[1:].isalpha()]
+        found: dict[str, bytes] = {}
+        for at in range(0, len(words), 1024):
+            some = words[at:at + 1024]
+            ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, np.int64)
+            cuts = np.flatnonzero(self.begins[ids])
+            if len(cuts) == len(some):
+                packed, w = ids.astype(self.kind).tobytes(), self.width
+                ends = [*cuts[1:].tolist(), len(ids)]
+                found.update((u, packed[a * w:b * w]) for u, a, b in zip(some, cuts.tolist(), ends, strict=True))
+        return [found.get(u) or self._unit(u) for u in units]
+
+    def split(self, texts: list[str]) -> list[list[str] | None]:
+        """Units of texts, none for those that go whole; units that are new are encoded together."""
+        whole = lambda t: not self.by_unit or any(a in t for a in self.added) or self.odd.search(t)
+        units = [None if whole(t) else self._UNITS.findall(t) for t in texts]
+        self.units.fill(set(chain.from_iterable(u for u in units if u)), self._many)
+        return units
+
+    def encode(self, text: str, units: list[str] | None = None) -> bytes:
         """Packed ids of a text."""
-        if not self.by_unit or self.whole.search(text):
+        if units is None:
+            (units,) = self.split([text])
+        if units is None:
             return self.pack(self.library.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.units.__getitem__, self._UNITS.findall(text)))
+        return b"".join(map(self.units.__getitem__, units))
 
 
 def byte_letters() -> dict[int, str]:
@@ -261,14 +288,20 @@ def write_shards(documents: DataFrame, folder: str, tokenizer: bytes, *, key: st
         keys: list[str | None] = []
         ends = [0]
         out = None
-        for k, t in rows_of(batches, "_k", "_t"):
+
+        def texts() -> Iterator[str]:
+            for k, t in rows_of(batches, "_k", "_t"):
+                keys.append(k)
+                yield t
+
+        for group in groups_of(texts()):
             if out is None:
                 files.create_dir(path, recursive=True)
                 out = files.open_output_stream(f"{path}/_{shard}-{attempt}.ids", buffer_size=1 << 20)
-            ids = encoder.encode(t) + end
-            out.write(ids)
-            keys.append(k)
-            ends.append(ends[-1] + len(ids) // encoder.width)
+            for t, units in zip(group, encoder.split(group), strict=True):
+                ids = encoder.encode(t, units) + end
+                out.write(ids)
+                ends.append(ends[-1] + len(ids) // encoder.width)
         if out is None:
             return
         out.close()
