@@ -5,8 +5,8 @@ own value in every array; virtual rehashing widens all windows step by step, and
 vector counts in how many windows it lies.  Vectors that reach the collision threshold
 are verified by their cosine.  The search ends when the k-th best verified vector is so
 near that a vector as near as it would have reached the threshold with a chance of
-``Settings.sure``; until then the windows widen, at last to all vectors.  No number of
-candidates ends a search.
+``Settings.sure``; until then the windows widen, at last to all vectors, but never further than
+the k-th best so far asks for.  No number of candidates ends a search.
 
 Vectors are dealt into blocks of some thousand by a hash of their id.  Every block has
 its own arrays, every query meets every block, and the block's best are merged by query.
@@ -37,12 +37,13 @@ from clickroll.session import stored
 
 @dataclass(frozen=True)
 class Settings:
-    projections: int = 128
+    projections: int = 64
     threshold: float = 0.6
     """Share of the projections a candidate collides in."""
     first: float = 0.25
     """Half width of the first windows, in distances of unit vectors."""
-    widen: float = 1.1
+    widen: float = 1.35
+    """Growth of the windows from step to step, until k vectors bound it."""
     sure: float = 0.99
     block_rows: int = 16_384
     seed: int = 11
@@ -80,7 +81,7 @@ class Block:
         counts = np.zeros(n, np.int64)
         base = np.arange(s.projections) * n
         left = right = np.searchsorted(self.flat, centre + self.shift) - base
-        width, seen = s.first, np.zeros(n, bool)
+        width, enough, seen = s.first, math.inf, np.zeros(n, bool)
         at, cosines = np.zeros(0, np.int64), np.zeros(0)
         while True:
             # windows stay within their own stretch of the long array
@@ -105,9 +106,11 @@ class Block:
                 far = math.sqrt(max(0.0, 2 - 2 * float(cosines[-1])))
                 if far * s.reach <= width:
                     return at, cosines
+                # windows of this width end the search, if no nearer vector ends it before
+                enough = far * s.reach
             if reach < width:
                 return at, cosines
-            width *= s.widen
+            width = min(width * s.widen, enough)
 
 
 def usable(vector: str) -> Column:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clickroll.llm import ann, pii, quality
@@ -170,6 +171,23 @@ def test_neighbours_of_repeated_ids(spark):
     assert all([r for r, _, _ in ranks].count(n) == 6 for n in (1, 2, 3)) and all(m != 30 for _, m, _ in ranks)
 
 
+def test_recall_over_several_blocks(spark):
+    """20,000 vectors without any grouping, and a family of near copies: nearly all true neighbours are found."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(20_000, 32))
+    v[5_000:6_000] = v[5_000] + 0.05 * rng.normal(size=(1_000, 32))
+    at = np.arange(len(v), dtype=np.int64)
+    df = spark.createDataFrame(pa.table({"vec_id": at, "embedding": pa.array(v.tolist())}))
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 50 == 0, settings=ann.Settings(block_rows=6_000)).toPandas()
+    got = {q: set(g.match_id) for q, g in found.groupby("query_id")}
+    unit = v / np.sqrt((v * v).sum(axis=1))[:, None]
+    asked = np.arange(0, len(v), 50)
+    cosines = unit[asked] @ unit.T
+    cosines[np.arange(len(asked)), asked] = -9
+    true = np.argsort(-cosines, axis=1, kind="stable")[:, :5]
+    assert sum(len(got[q] & set(t.tolist())) for q, t in zip(asked.tolist(), true, strict=True)) >= 0.99 * true.size
+
+
 def test_search_ends_with_all_vectors():
     """With no close vector the windows widen to everything, and the answer is exact."""
     rng = np.random.default_rng(7)
