@@ -25,7 +25,7 @@ from clickroll.sinks.commits import CommitLog
 from clickroll.sinks.upserts import UpsertTable
 from clickroll.sources import clicks as messages
 from clickroll.sources.text import file_lines, text_column_lines
-from clickroll.streaming import jobs
+from clickroll.streaming import jobs, late
 
 
 def _epoch(rows: DataFrame) -> DataFrame:
@@ -110,6 +110,22 @@ def stream_sliding_count(spark, sf_dir):
     return _epoch(run_latest(rows, "sliding", ["slice", "word"]))
 
 
+@query(
+    "stream_late_count",
+    duck('SELECT epoch_s - epoch_s % 3600 AS slice, word, count(*) AS "count" FROM words GROUP BY 1, 2', _TIMED_WORDS),
+)
+def stream_late_count(spark, sf_dir):
+    # all files hold all times: what comes after the first batch is late but for the last window
+    base = work_dir(spark, "late")
+    events = table(spark, sf_dir, "events")
+    events.repartition(8, "event_id").write.parquet(f"{base}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    changes = late.corrected_word_count(_timed_words(as_clicks(source)), "ts", "1 hour")
+    keys = ["slice", "word"]
+    late.corrected_stream(changes, f"{base}/table", f"{base}/checkpoint", keys, partitions=_state(spark)).awaitTermination()
+    return _epoch(late.read_corrected(spark, f"{base}/table", keys, changes.schema).drop("late"))
+
+
 @query(
     "stream_running_count",
     rf"""WITH {_TEXT_WORDS}, seed AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text,

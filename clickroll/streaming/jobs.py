@@ -52,15 +52,16 @@ def latest_log(path: str, keys: list[str]) -> CommitLog:
 
 
 def latest_stream(rows: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update",
-                  trigger: dict | None = None, partitions: int | None = None, fold_at: int = 32) -> StreamingQuery:
-    """Write every changed row of a stateful stream as a version of its key.
+                  trigger: dict | None = None, partitions: int | None = None, fold_at: int = 32,
+                  log: CommitLog | None = None) -> StreamingQuery:
+    """Write every changed row of a stateful stream as a version of its key, or as an entry of ``log``.
 
     ``partitions`` is the number of its state partitions, which it keeps for good.  The
     table holds the changes of one run: on a new checkpoint the state starts anew,
     and so should the table.  Every ``fold_at`` batches old versions are folded away, so
     the table grows with its keys and not with its batches.
     """
-    log = latest_log(path, keys)
+    log = log or latest_log(path, keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -2,6 +2,7 @@
 
 import os
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from clickroll.schemas import ARTICLE_KEYS
 from clickroll.sinks import append
 from clickroll.sources.clicks import read_click_stream
 from clickroll.sources.text import file_lines, socket_lines
-from clickroll.streaming import jobs
+from clickroll.streaming import jobs, late
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +75,71 @@ def test_windowed_words_equal_batch(spark, sf, split_dir, tmp_path):
         same(got, jobs.windowed_word_count(timed(clicks(spark, sf)), "ts", length, step))
 
 
+KEYS = ["slice", "word"]
+
+
+def run_corrected(spark, folder, out, length, step=None, fold_at=32):
+    timed = words.split_words(stream(spark, folder).select("ts", F.concat_ws(" ", "host", "cat").alias("line")))
+    changes = late.corrected_word_count(timed, "ts", length, step)
+    run = late.corrected_stream(changes, f"{out}/t", f"{out}/c", KEYS, partitions=2, fold_at=fold_at)
+    run.awaitTermination()
+    return run, late.read_corrected(spark, f"{out}/t", KEYS, changes.schema)
+
+
+@pytest.mark.parametrize("length,step", [("1 hour", None), ("2 hours", "1 hour")])
+def test_late_rows_are_corrections(spark, sf, tmp_path, length, step):
+    """Files with the newest clicks first: state and corrections together are the batch."""
+    events = table(spark, sf, "events")
+    for quarter in (3, 1, 0, 2):
+        part = events.where(F.floor((F.dayofmonth("ts") - 1) / 8) == quarter).coalesce(1)
+        part.write.mode("append").parquet(f"{tmp_path}/in")
+    files = sorted((tmp_path / "in").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    for age, f in enumerate(files):
+        os.utime(f, (time.time() - 1000 + age * 10,) * 2)
+    query, got = run_corrected(spark, f"{tmp_path}/in", tmp_path, length, step, fold_at=2)
+    timed = words.split_words(clicks(spark, sf).select("ts", F.concat_ws(" ", "host", "cat").alias("line")))
+    want = jobs.windowed_word_count(timed, "ts", length, step)
+    same(got.drop("late"), want)
+    # what came in the first file is not late, all that is a day older is
+    assert got.where("slice >= '2024-01-26' AND late > 0").isEmpty()
+    older = got.where("slice < '2024-01-24'")
+    assert older.where("late <> count").isEmpty() and not older.isEmpty()
+    # the timers have freed the windows behind the watermark
+    left = query.recentProgress[-1].stateOperators[0].numRowsTotal
+    assert left < want.count() / 4
+    assert query.lastProgress.stateOperators[0].numRowsDroppedByWatermark == 0
+
+
+def test_corrections_after_a_restart_and_of_a_repeated_batch(spark, tmp_path):
+    def click(name, *rows):
+        frame = spark.createDataFrame([(datetime.fromisoformat(t), w) for t, w in rows], "ts timestamp, word string")
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+
+    def run():
+        source = spark.readStream.schema("ts timestamp, word string").parquet(f"{tmp_path}/in")
+        changes = late.corrected_word_count(source, "ts", "10 seconds", delay="0 seconds")
+        late.corrected_stream(changes, f"{tmp_path}/t", f"{tmp_path}/c", KEYS, partitions=2).awaitTermination()
+        rows = late.read_corrected(spark, f"{tmp_path}/t", KEYS, changes.schema).collect()
+        return {(f"{r.slice:%M:%S}", r.word): (r["count"], r.late) for r in rows}
+
+    click("in", ("2024-01-01 00:00:01", "a"), ("2024-01-01 00:00:02", "a"), ("2024-01-01 00:01:00", "b"))
+    assert run() == {("00:00", "a"): (2, 0), ("01:00", "b"): (1, 0)}
+    # the watermark is kept by the checkpoint: a is late, b is not
+    click("in", ("2024-01-01 00:00:03", "a"), ("2024-01-01 00:00:03", "c"), ("2024-01-01 00:01:09", "b"), ("2024-01-01 00:01:09", None))
+    want = {("00:00", "a"): (3, 1), ("00:00", "c"): (1, 1), ("01:00", "b"): (2, 0)}
+    assert run() == want == run()
+    # a batch that is written again replaces its versions and its corrections
+    log = late.corrected_log(f"{tmp_path}/t", KEYS)
+    last = [b for b in log.state(spark).batches if b["tables"]["rows"]["hi"] is None][-1]
+    again = spark.createDataFrame([(datetime(2024, 1, 1), "a", None, 5)], "slice timestamp, word string, count bigint, late bigint")
+    log.write(spark, {"rows": again}, 500, last["run"])
+    log.write(spark, {"rows": again}, 500, last["run"])
+    rows = {r.word: (r["count"], r.late) for r in log.read(spark, "rows").collect()}
+    assert rows["a"] == (8, 6)
+    assert log.fold(spark) >= 2
+    assert {r.word: (r["count"], r.late) for r in log.read(spark, "rows").collect()} == rows
+
+
 def lines_in(tmp_path, name, text):
     (tmp_path / "in").mkdir(exist_ok=True)
     (tmp_path / "in" / name).write_text(text)
