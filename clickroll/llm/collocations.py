@@ -5,11 +5,13 @@ before the next one.  Tasks build whole stripes in memory and send them merged;
 equal prefix and next word are then added up, entry by entry, so a stripe of a frequent
 prefix is spread over all tasks and none holds it whole.  One slot of a stripe, with no
 next word, counts all that is not followed further: the ends of pieces, and next words that
-cannot be in a candidate.  So the sum of a stripe is the count of its prefix, an entry is
-the count of the longer phrase, and the largest entries say what subsumes what.
+cannot be in a candidate.  So the sum of a stripe is the count of its prefix.  An entry is
+the count of the longer phrase, hence the same number as the sum of the stripe that it grows into, and
+the largest entries say what subsumes what.  Phrases are ranked by totals from the entries, so the slots are not sent there.
 
 A phrase occurs no more often than its parts.  Stripes grow depth by depth, and a depth
-follows only words (pairs) that the depth before found often enough.  Tasks know these from
+follows only words (pairs) that the depth before found often enough; entries of fewer
+occurrences than a candidate has are in no candidate and not kept.  Tasks know these from
 a bitmap of hashes of fixed size: a hash that collides costs an entry too many and
 changes no count.
 
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +51,8 @@ _TOKEN = re.compile(rb"[^ \t\n]+|\n")
 _PIECE_ENDS = bytes.maketrans(b".,;:!?\r\x0b\x0c", b"\n" * 9)
 _SLICE = 1 << 20
 _BUFFER = 1 << 18
-_STRIPES = "lang string, p1 string, p2 string, nexts array<string>, counts array<bigint>"
+_STRIPES = "prefix string, nexts array<string>, counts array<bigint>"
+"""The prefix is its language, a line break, which no word holds, and its words; one column, so that entries are short."""
 
 
 def tokens_of(raw: bytes) -> Iterator[list[bytes]]:
@@ -66,8 +70,9 @@ def tokens_of(raw: bytes) -> Iterator[list[bytes]]:
 class _Stripes:
     """Stripes of one language in one task, of one depth."""
 
-    def __init__(self, lang: str, depth: int, words: np.ndarray | None, pairs: np.ndarray | None, held: int) -> None:
-        self.lang, self.depth, self.words, self.pairs, self.held = lang, depth, words, pairs, held
+    def __init__(self, lang: str, depth: int, words: np.ndarray | None, pairs: np.ndarray | None, held: int,
+                 slots: bool) -> None:
+        self.lang, self.depth, self.words, self.pairs, self.held, self.slots = lang, depth, words, pairs, held, slots
         self.seed = xxhash.xxh64_intdigest(lang.encode(), 42)
         self._reset()
 
@@ -131,6 +136,8 @@ class _Stripes:
                 use = pair[:-1]
                 prefix = a[:-1].astype(np.uint64) << np.uint64(32) | b[:-1].astype(np.uint64)
                 follow = np.where(pair[1:], ids[2:], 0)
+            if not self.slots:
+                use = use & (follow > 0)
         self._merge(prefix[use], follow[use], np.ones(int(use.sum()), np.int64))
 
     def _merge(self, keys: np.ndarray, nexts: np.ndarray, counts: np.ndarray) -> None:
@@ -161,15 +168,15 @@ class _Stripes:
             offsets = pa.array(np.r_[part, end] - part[0], pa.int32())
             keys = self.keys[part]
             high, low = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            p1, p2 = {0: (low, low), 1: (low, high), 2: (high, low)}[self.depth]
             follow = self.nexts[part[0]:end]
             names = pa.array(follow, pa.int64(), mask=follow == 0)
+            words = [texts.take(pa.array(p)) for p in ((), (low,), (high, low))[self.depth]]
+            named = pc.binary_join_element_wise(*words, " ") if words else pa.array([""] * len(part), pa.string())
             yield pa.RecordBatch.from_arrays([
-                pa.array([self.lang] * len(part), pa.string()),
-                texts.take(pa.array(p1, pa.int64(), mask=p1 == 0)), texts.take(pa.array(p2, pa.int64(), mask=p2 == 0)),
+                pc.binary_join_element_wise(pa.scalar(self.lang), named, "\n"),
                 pa.ListArray.from_arrays(offsets, texts.take(names)),
                 pa.ListArray.from_arrays(offsets, pa.array(self.counts[part[0]:end], pa.int64())),
-            ], ["lang", "p1", "p2", "nexts", "counts"])
+            ], ["prefix", "nexts", "counts"])
         self._reset()
         self.waiting = [np.fromiter((self._number(t or b"\n") for t in rest), np.int64, len(rest))]
 
@@ -203,11 +210,11 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def stripes(documents: DataFrame, depth: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, *,
-            text: str = "text", lang: str = "lang", held: int = 300_000) -> DataFrame:
-    """``(lang, p1, p2, next, count)``: the merged stripes of ``depth`` words.
+            least: int = 1, slots: bool = True, text: str = "text", lang: str = "lang", held: int = 300_000) -> DataFrame:
+    """``(lang, p1, p2, next, count)``: the merged stripes of ``depth`` words, entries of ``least`` occurrences on.
 
-    ``words`` and ``pairs`` are bitmaps of what is followed.  ``held`` entries of a task's
-    stripes are kept at most, then they are sent.
+    ``words`` and ``pairs`` are bitmaps of what is followed; ``slots`` says whether what is not has its slot.
+    ``held`` entries of a task's stripes are kept at most, then they are sent.
     """
     spark = documents.sparkSession
     rows = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"),
@@ -215,7 +222,7 @@ def stripes(documents: DataFrame, depth: int, words: np.ndarray | None = None, p
     maps = spark.sparkContext.broadcast((words, pairs))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_lang = Memo(lambda name: _Stripes(name, depth, *maps.value, held), 1 << 30)
+        by_lang = Memo(lambda name: _Stripes(name, depth, *maps.value, held, slots), 1 << 30)
         for name, raw in rows_of(batches, "lang", "raw"):
             if raw:
                 one = by_lang[name]
@@ -229,13 +236,13 @@ def stripes(documents: DataFrame, depth: int, words: np.ndarray | None = None, p
             yield from s.flush(True)
 
     entries = rows.mapInArrow(build, _STRIPES).select(
-        "lang", "p1", "p2", F.inline(F.arrays_zip(F.col("nexts").alias("next"), F.col("counts").alias("count"))))
-    return entries.groupBy("lang", "p1", "p2", "next").agg(F.sum("count").alias("count"))
-
-
-def _totals(grown: DataFrame, *prefix: str) -> DataFrame:
-    """Counts of the prefixes: the sums of their stripes."""
-    return grown.groupBy("lang", *prefix).agg(F.sum("count").alias("total"))
+        "prefix", F.inline(F.arrays_zip(F.col("nexts").alias("next"), F.col("counts").alias("count"))))
+    merged = entries.groupBy("prefix", "next").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
+    named = merged.withColumn("words", F.expr("substring_index(prefix, '\\n', -1)"))
+    none = F.lit(None).cast("string")
+    return named.select(F.expr("left(prefix, length(prefix) - length(words) - 1)").alias("lang"),
+                        (F.substring_index("words", " ", 1) if depth else none).alias("p1"),
+                        (F.substring_index("words", " ", -1) if depth == 2 else none).alias("p2"), "next", "count")
 
 
 def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP,
@@ -244,22 +251,20 @@ def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang"
 
     Columns: ``lang, rank, phrase, a, l, r, n, score`` as the contract of ``op13`` has them.
     """
-    options = {"text": text, "lang": lang, "held": held}
+    options = {"slots": False, "text": text, "lang": lang, "held": held}
     counted = stored(stripes(documents, 0, **options).select("lang", F.col("next").alias("w"), F.col("count").alias("f")), "words")
     sizes = counted.groupBy("lang").agg(F.sum("f").alias("n"))
     often = counted.where(F.col("f") >= least)
     words = _bitmap(often.select(_word_hash("lang", "w").alias("h")), bits[0])
-    one = stored(stripes(documents, 1, words, **options).drop("p2"), "stripes-1")
-    # a pair with a word that is not followed is in no candidate, so its stripe may be left out
-    pair = one.where(F.col("next").isNotNull() & (F.col("count") >= least)).select(
-        "lang", F.col("p1").alias("w1"), F.col("next").alias("w2"), F.col("count").alias("a"))
+    pair = stored(stripes(documents, 1, words, least=least, **options).select(
+        "lang", F.col("p1").alias("w1"), F.col("next").alias("w2"), F.col("count").alias("a")), "pairs")
     pairs = _bitmap(pair.select(_pair_hash("lang", "w1", "w2").alias("h")), bits[1])
-    two = stored(stripes(documents, 2, words, pairs, **options), "stripes-2")
-    triple = two.where(F.col("next").isNotNull() & (F.col("count") >= least)).select(
-        "lang", F.col("p1").alias("w1"), F.col("p2").alias("w2"), F.col("next").alias("w3"), F.col("count").alias("a"))
+    triple = stored(stripes(documents, 2, words, pairs, least=least, **options).select(
+        "lang", F.col("p1").alias("w1"), F.col("p2").alias("w2"), F.col("next").alias("w3"), F.col("count").alias("a")), "triples")
 
-    single = stored(_totals(one, "p1").select("lang", F.col("p1").alias("w"), F.col("total").alias("f")), "totals-1")
-    double = _totals(two, "p1", "p2").select("lang", F.col("p1").alias("u"), F.col("p2").alias("v"), F.col("total").alias("f"))
+    # totals of prefixes are the entries that grew into them
+    single = often.select("lang", "w", "f")
+    double = pair.select("lang", F.col("w1").alias("u"), F.col("w2").alias("v"), F.col("a").alias("f"))
 
     def with_word(rows: DataFrame, word: str, name: str) -> DataFrame:
         return rows.join(single.select(F.col("lang"), F.col("w").alias(word), F.col("f").alias(name)), ["lang", word])
