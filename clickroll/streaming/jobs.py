@@ -9,13 +9,12 @@ written with its batch number; the table is the last version of each row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from clickroll.operators.articles import as_counts, merge_article_rows
 from clickroll.operators.dashboard import COUNTERS, OUTPUTS, dashboard_counts
@@ -101,46 +100,15 @@ def windowed_word_count(words: DataFrame, ts_col: str, length: str, step: str |
     return counted.select(F.col("window.start").alias("slice"), "word", "count")
 
 
-def _summed(words: DataFrame) -> DataFrame:
-    """Words with the counts of each Arrow batch: what is shuffled to the state is summed before."""
-    import pyarrow as pa
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counted = pa.table({"word": batch.column("word")}).group_by("word").aggregate([([], "count_all")])
-            yield from counted.rename_columns(["word", "count"]).cast(
-                pa.schema([("word", pa.string()), ("count", pa.int64())])).to_batches()
-
-    return words.select("word").mapInArrow(partial, "word string, count bigint")
-
-
-class RunningCount(StatefulProcessor):
-    """Adds the counts of a word to its state, which a seed may begin."""
-
-    def init(self, handle) -> None:
-        self.total = handle.getValueState("total", "total bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        held = self.total.get() if self.total.exists() else (0,)
-        total = held[0] + sum(r["count"] for r in rows)
-        self.total.update((total,))
-        yield Row(word=key[0], count=total)
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((initialState["count"],))
-
-    def close(self) -> None:
-        pass
-
-
 def running_count(words: DataFrame, seed: DataFrame) -> DataFrame:
-    """Running count per word over all batches, on top of a seed with one row per word.
+    """Running count per word over all batches, on top of a seed of counted words.
 
-    The state is a table of words in RocksDB that starts as the seed.  Use update mode, and
-    start the stream within ``large_state``.
+    The seed is a stream too, so its counts begin the state of its words with the first micro-batch; a restart
+    has read them already.  A word of a batch is one row before the shuffle.  Use update mode, and start the stream
+    within ``large_state``.
     """
-    return _summed(words).groupBy("word").transformWithState(
-        RunningCount(), "word string, count bigint", "Update", "None", seed.groupBy("word"))
+    said = words.select("word", F.lit(1).cast("bigint").alias("count"))
+    return said.unionByName(seed.select("word", "count")).groupBy("word").agg(F.sum("count").alias("count"))
 
 
 SEED = "seed"
@@ -151,14 +119,19 @@ def running_count_stream(words: DataFrame, seed: DataFrame, path: str, checkpoin
                          trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Running counts on top of a seed: the table (``read_latest``) has every word of either.
 
-    The seed is aggregated and stored once; it is the first version of its words, and the state
-    of the first micro-batch.  A restart finds both.
+    The seed is aggregated and stored once; it is the first version of its words, and what the state
+    begins with.  A restart finds both.  It has a folder of its own, which folds leave alone, since the stream
+    goes on from it as from any source.
     """
-    spark, log = words.sparkSession, latest_log(path, ["word"])
+    spark, log, folder = words.sparkSession, latest_log(path, ["word"]), f"{path}/seed"
+    schema = "word string, count bigint"
     state = log.state(spark)
     if not state.folded(SEED, 0, 0) and not any(b["run"] == SEED for b in state.batches):
-        log.write(spark, {ROWS: seed.groupBy("word").agg(F.sum("count").alias("count"))}, 0, SEED)
-    begun = log.read_run(spark, ROWS, SEED, T.StructType.fromDDL("word string, count bigint"))
+        # no stream starts before the record is there, so a folder without one is written anew
+        seed.groupBy("word").agg(F.sum("count").alias("count")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(folder)
+        log.write(spark, {ROWS: spark.read.schema(schema).parquet(folder)}, 0, SEED)
+    begun = spark.readStream.schema(schema).parquet(folder)
     with large_state(spark):
         return latest_stream(running_count(words, begun), path, checkpoint, ["word"], "update", trigger, partitions)
 

@@ -166,6 +166,28 @@ def test_running_count_starts_from_the_seed(spark, tmp_path):
     assert log.fold(spark) == 3 and run() == {"hello": 3, "there": 2, "world": 2}
 
 
+def test_running_count_takes_each_word_once_and_no_python(spark, tmp_path):
+    seed = spark.createDataFrame([("a", 2), ("a", 3), ("z", 1), (None, 4)], "word string, count bigint")
+
+    def run():
+        said = words.split_words(file_lines(spark, f"{tmp_path}/in"))
+        query = jobs.running_count_stream(said, seed, f"{tmp_path}/t", f"{tmp_path}/c", partitions=2)
+        query.awaitTermination()
+        return query, {r.word: r["count"] for r in jobs.read_latest(spark, f"{tmp_path}/t", ["word"], seed.schema).collect()}
+
+    lines_in(tmp_path, "a.txt", "a b\n" * 5000)
+    query, got = run()
+    assert got == {"a": 5005, "b": 5000, "z": 1, None: 4}
+    (held,) = query.lastProgress["stateOperators"]
+    assert held["operatorName"] == "stateStoreSave" and held["numRowsTotal"] == 4
+    # folded and cleaned, the stream still goes on from its seed, which counts once
+    log = jobs.latest_log(f"{tmp_path}/t", ["word"])
+    log.fold(spark)
+    log.vacuum(spark, age=-60)
+    lines_in(tmp_path, "b.txt", "z c\n")
+    assert run()[1] == {"a": 5005, "b": 5000, "z": 2, "c": 1, None: 4}
+
+
 def test_restart_equals_one_run(spark, tmp_path):
     def run():
         counts = words.word_count(words.split_words(file_lines(spark, f"{tmp_path}/in")))
