@@ -37,19 +37,22 @@ def merge_article_rows(rows: DataFrame, *slices: Column) -> DataFrame:
     first of the exploded rows only.  One shuffle, with partial buffers made before it.
     """
     attrs = _present(rows)
+    keys = (["slice"] if slices else []) + ARTICLE_KEYS
     by_tag = rows.select(
         *[s.alias("slice") for s in slices],
-        *ARTICLE_KEYS, *attrs, "count", "first_ts",
-        F.posexplode_outer(clean_tags("tags")).alias("_pos", "_tag"),
-    )
+        *ARTICLE_KEYS, "count", F.struct("first_ts", *attrs).alias("_first"), clean_tags("tags").alias("_tags"),
+    ).select(*keys, "count", "_first", F.posexplode_outer("_tags").alias("_pos", "_tag"))
     once = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    keys = (["slice"] if slices else []) + ARTICLE_KEYS
+    # nulled before the aggregate: the wide attributes are sorted once for a row, not once for a tag
+    narrow = by_tag.select(
+        *keys, "_tag", F.when(once, F.col("count")).alias("count"), F.when(once, F.col("_first")).alias("_first")
+    )
     return (
-        by_tag.groupBy(*keys)
+        narrow.groupBy(*keys)
         .agg(
-            F.sum(F.when(once, F.col("count"))).alias("count"),
+            F.sum("count").alias("count"),
             F.sort_array(F.collect_set("_tag")).alias("tags"),
-            F.min(F.when(once, F.struct("first_ts", *attrs))).alias("_first"),
+            F.min("_first").alias("_first"),
         )
         .select(*keys, "count", "tags", "_first.*")
     )

@@ -177,9 +177,14 @@ def as_messages(events: DataFrame) -> DataFrame:
 
 
 def message_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The messages of the events table in a folder of their own, as a topic holds them."""
+    """The messages of the events table in a folder of their own, as a topic holds them.
+
+    The table may lie in a few large row groups, each of them one task; the messages are dealt evenly, as to
+    the partitions of a topic, so that making and parsing them takes every core.
+    """
     path = work_dir(spark, "messages")
-    as_messages(table(spark, sf_dir, "events")).write.parquet(path)
+    events = table(spark, sf_dir, "events").repartition(2 * spark.sparkContext.defaultParallelism)
+    as_messages(events).write.parquet(path)
     return path
 
 

@@ -153,9 +153,8 @@ def _watched(batch: DataFrame, batch_id: int, job: str, tables: Tables, keys: li
     are read again only if the pass before met a bad one.
     """
     log_, spark, seen = stream_log(tables, job), batch.sparkSession, Observation()
-    parsed = messages.parse_clicks(batch)
-    bad = messages.is_bad(parsed)
-    watched = parsed.observe(
+    parsed, bad = messages.parse_clicks(batch), F.col("_bad")
+    watched = messages.marked_clicks(parsed).observe(
         seen,
         F.count(F.lit(1)).alias("messages"),
         F.count_if(bad).alias("bad"),

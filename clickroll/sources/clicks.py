@@ -70,20 +70,28 @@ def event_time(rows: DataFrame) -> Column:
     return F.coalesce(own, F.col("timestamp").cast("timestamp")) if "timestamp" in rows.columns else own
 
 
-def is_bad(parsed: DataFrame) -> Column:
-    """True for a message that is no JSON object, or has no time of any kind."""
+def is_bad(parsed: DataFrame, time: Column | None = None) -> Column:
+    """True for a message that is no JSON object, or has no time of any kind; ``time`` is where that is known."""
     # A single odd field marks a row corrupt too, but its other fields are there
     # and the click counts, so only marked rows are looked at again.
     text = F.btrim("_value", F.lit(" \t\r\n"))
     no_object = F.get_json_object("_value", "$").isNull() | ~text.startswith("{")
     return (
         F.col("_value").isNull() | (text == "") | (F.col(CORRUPT).isNotNull() & no_object)
-        | event_time(parsed).isNull()
+        | (event_time(parsed) if time is None else time).isNull()
     )
 
 
+def marked_clicks(parsed: DataFrame) -> DataFrame:
+    """Parsed messages with ``_time`` and ``_bad``, each worked out once for all that reads them."""
+    timed = parsed.withColumn("_time", event_time(parsed))
+    return timed.withColumn("_bad", is_bad(parsed, F.col("_time")))
+
+
 def good_clicks(parsed: DataFrame) -> DataFrame:
-    """Messages that are JSON objects, with their time as ``ts``."""
+    """Messages that are JSON objects, with their time as ``ts``; they may be marked already."""
+    if "_bad" in parsed.columns:
+        return parsed.where(~F.col("_bad")).withColumn("ts", F.col("_time")).drop("_value", CORRUPT, "_time", "_bad")
     return parsed.where(~is_bad(parsed)).withColumn("ts", event_time(parsed)).drop("_value", CORRUPT)
 
 

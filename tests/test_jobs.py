@@ -149,3 +149,25 @@ def test_clicks_without_time_and_resumed_offsets(spark, tmp_path):
     rows = tables.read(spark, "article_hourly").collect()
     assert {r.article_id: r["count"] for r in rows} == {"a0": 10, "a1": 10, "a2": 10}
     assert jobs.resume_from(spark, tables, "t") == '{"t":{"0":29,"1":30}}'
+
+
+def test_messages_are_dealt_evenly_and_attributes_once(spark, tmp_path):
+    """One row group of events: every core has its part of the messages to make and to parse."""
+    from clickroll.operators.articles import article_hourly
+    from clickroll.plans import inputs
+
+    events = inputs.table(spark, "/root/testdata/sf0.001", "events")
+    events.withColumn("props", F.when(F.col("event_id") % 9 == 0, F.lit(None)).otherwise(F.col("props"))).coalesce(1).write.parquet(
+        f"{tmp_path}/events.parquet")
+    folder = inputs.message_folder(spark, str(tmp_path))
+    rows = spark.read.schema("value string").parquet(folder)
+    held = [r["count"] for r in rows.groupBy(F.input_file_name().alias("file")).count().collect()]
+    assert len(held) >= spark.sparkContext.defaultParallelism and max(held) <= 2 * min(held)
+    plain = inputs.as_messages(inputs.table(spark, str(tmp_path), "events"))
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    # behind the generator, only the first of a row's tags carries count and attributes into the aggregate
+    many = spark.createDataFrame([(datetime(2024, 1, 1), "a", "h", 0, 5, ["x", "y", "x", "", None], datetime(2024, 1, 1), "c")],
+                                 "slice timestamp, article_id string, host string, is_app bigint, count bigint, tags array<string>, "
+                                 "first_ts timestamp, cat string")
+    (got,) = article_hourly(many.unionAll(many)).collect()
+    assert (got["count"], got.tags, got.cat) == (10, ["x", "y"], "c")
