@@ -28,7 +28,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,9 @@ class ByteEncoder:
     # white space.  A blank belongs to what follows it, of more white space only the last one.
     _UNITS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++(?![^\W\d_])| ?\S+|\s+(?!\S)|\s+")
 
+    # What the usual split never cuts: plain letters, digits, or ASCII signs but the apostrophe, behind a blank or not.
+    _PIECE = re.compile(r" ?(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
+
     def __init__(self, blob: bytes, memo: int = 450_000, width: int | None = None) -> None:
         from tokenizers import Tokenizer
 
@@ -96,15 +99,25 @@ class ByteEncoder:
         return self.pack(self.library.encode(unit, add_special_tokens=False).ids)
 
     def _many(self, units: list[str]) -> list[bytes]:
-        """The same of many: words behind a blank are encoded as one text, which is cut where words begin."""
-        words = [u for u in units if u[0] == " " and u[1:].isalpha()]
+        """The same of many: single pieces go straight to the library's model, letters of bytes made for all at once.
+
+        Other words behind a blank are encoded as one text, which is cut where words begin.
+        """
         found: dict[str, bytes] = {}
+        w, single = self.width, [u for u in units if self._PIECE.fullmatch(u)]
+        if single:
+            pieces = "\n".join(single).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+            ids = [[t.id for t in self.model.tokenize(p)] for p in pieces]
+            packed, at = self.pack(list(chain.from_iterable(ids))), 0
+            for u, x in zip(single, ids, strict=True):
+                found[u] = packed[at:(at := at + len(x) * w)]
+        words = [u for u in units if u not in found and u[0] == " " and u[1:].isalpha()]
         for at in range(0, len(words), 1024):
             some = words[at:at + 1024]
             ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, np.int64)
             cuts = np.flatnonzero(self.begins[ids])
             if len(cuts) == len(some):
-                packed, w = ids.astype(self.kind).tobytes(), self.width
+                packed = ids.astype(self.kind).tobytes()
                 ends = [*cuts[1:].tolist(), len(ids)]
                 found.update((u, packed[a * w:b * w]) for u, a, b in zip(some, cuts.tolist(), ends, strict=True))
         return [found.get(u) or self._unit(u) for u in units]
@@ -113,7 +126,8 @@ class ByteEncoder:
         """Units of texts, none for those that go whole; units that are new are encoded together."""
         whole = lambda t: not self.by_unit or any(a in t for a in self.added) or self.odd.search(t)
         units = [None if whole(t) else self._UNITS.findall(t) for t in texts]
-        self.units.fill(set(chain.from_iterable(u for u in units if u)), self._many)
+        # most are held already: only the others are gathered
+        self.units.fill(set(filterfalse(self.units.__contains__, chain.from_iterable(u for u in units if u))), self._many)
         return units
 
     def encode(self, text: str, units: list[str] | None = None) -> bytes:
@@ -247,12 +261,18 @@ class Shard:
 
     def rows_of(self, key: str | None) -> range:
         """Rows of a key, none if the shard does not hold it."""
-        hashed = key_hashes([key])
-        slot = int(self.hash.slots(hashed)[0])
-        if slot < 0 or self.prints[slot] != np.uint32(hashed[0] >> np.uint64(32)):
-            return range(0)
-        row = int(self.first[slot])
-        return range(row, row + int(self.counts[slot])) if self.key(row) == key else range(0)
+        return self.rows_of_each([key])[0]
+
+    def rows_of_each(self, keys: list[str | None]) -> list[range]:
+        """The same for many keys, which are hashed together."""
+        hashed = key_hashes(keys)
+        slots, out = self.hash.slots(hashed), []
+        known = slots >= 0
+        known[known] = self.prints[slots[known]] == (hashed[known] >> np.uint64(32)).astype(np.uint32)
+        for key, slot, like in zip(keys, slots.tolist(), known.tolist(), strict=True):
+            row = int(self.first[slot]) if like else -1
+            out.append(range(row, row + int(self.counts[slot])) if like and self.key(row) == key else range(0))
+        return out
 
     def ids(self, row: int) -> np.ndarray:
         """The ids of a row, read from its place in the payload."""
@@ -328,18 +348,15 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, start in rows_of(batches, "shard", "start"):
-            shard, row = Shard(folder, number), 0
-            while row < len(shard):
-                out = []
-                while row < len(shard) and len(out) < 4_096:
-                    key = shard.key(row)
-                    found = shard.rows_of(key)
+            shard = Shard(folder, number)
+            for at in range(0, len(shard), 4_096):
+                rows, out = range(at, min(at + 4_096, len(shard))), []
+                keys = [shard.key(row) for row in rows]
+                for row, key, found in zip(rows, keys, shard.rows_of_each(keys), strict=True):
                     if row not in found:
                         raise ValueError(f"the index of shard {number} does not lead to row {row}")
-                    for r in found:
-                        ids = shard.ids(r)
-                        out.append((key, start + int(shard.offsets[r]), len(ids), zlib.crc32(ids.tobytes())))
-                    row = found.stop
+                    ids = shard.ids(row)
+                    out.append((key, start + int(shard.offsets[row]), len(ids), zlib.crc32(ids.tobytes())))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(
                         zip(*out, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)],

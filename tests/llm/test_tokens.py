@@ -80,6 +80,18 @@ def test_byte_ids_are_the_library_s(tokenizer):
     assert [np.frombuffer(own.encode(t), own.kind).tolist() for t in some] == [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_single_pieces_need_no_split(tokenizer, monkeypatch):
+    library = Tokenizer.from_file(BYTES)
+    some = [f"Word{'abcdefghij'[i % 10]} wört{'xyz'[i % 3]}lich, 4929348385146306 ### {i}... (\n\t_-~ ÿ\u024f end{'q' * (i % 25)}" for i in range(60)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in some]
+    monkeypatch.setattr(token_files.ByteEncoder, "_unit", lambda self, unit: self.pack(library.encode(unit, add_special_tokens=False).ids))
+    own = token_files.ByteEncoder(tokenizer, memo=40)
+    own.library = None          # new plain words do not go through its split
+    for group in (some[:5], some, some[30:]):
+        for t, units in zip(group, own.split(group), strict=True):
+            assert np.frombuffer(own.encode(t, units), own.kind).tolist() == want[some.index(t)]
+
+
 def test_perfect_hash():
     for n in (0, 1, 2, 1000, 20_000):
         hashes = token_files.key_hashes([str(i) for i in range(n)])
