@@ -98,6 +98,32 @@ def test_windows_have_anchors_that_hang_on_their_bytes_alone(monkeypatch):
         assert alone[0] == x == y[0]
 
 
+def test_blocks_of_a_frequent_core_reach_the_sort_from_many_tasks(spark, monkeypatch):
+    rnd, most, sort = random.Random(6), [], suffixes._sorted_cover
+    part = lambda k: "".join(rnd.choices("abcdefgh", k=k))
+    passage = part(40)
+    texts = [part(30) + passage + part(30) for _ in range(400)]
+
+    def counted(blocks, shape):
+        at = blocks.select("core", F.spark_partition_id().alias("at")).collect()
+        most.extend([max(Counter(r.core for r in at).values()), max(Counter((r.core, r.at) for r in at).values())])
+        return sort(blocks, shape)
+
+    monkeypatch.setattr(suffixes, "_sorted_cover", counted)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = suffixes.remove_repeats(frame(spark, list(enumerate(texts))), window=32).select("spans").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted([(s.a, s.b) for s in r.spans] for r in got) == sorted([tuple(s) for s in x] for x in plain(texts, 32))
+    assert most[0] > 300 and most[1] < most[0] / 2
+
+
 def test_multikey_order():
     rnd = np.random.default_rng(1)
     rows = rnd.integers(0, 2, (500, 13)).astype(np.uint8)
